@@ -30,9 +30,13 @@ NULL_TOKENS = (
 )
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark takes it literally, dots and spaces included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def column(name: str) -> Column:
-    """The column of exactly this name, dots and spaces included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def tokens_to_null(value: Column) -> Column:

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vouch.functions.checks import References, Unique, column_type
+from vouch.functions.frames import union_all
 from vouch.functions.nulls import column, nan_to_null
 from vouch.functions.numeric import count_or_zero, pct
 from vouch.plans.context import RunContext
-from vouch.plans.rules import Rule
+from vouch.plans.rules import Rule, rule_frame
 
 log = logging.getLogger(__name__)
 
@@ -40,7 +40,9 @@ def evaluate(
     held by a large share of the rows costs one row per task. Checks of the same key
     share those counts.
     """
-    missing = sorted({r.table_name for r in rules} - tables.keys())
+    needed = {r.table_name for r in rules}
+    needed |= {r.check.parent_table for r in rules if isinstance(r.check, References)}
+    missing = sorted(needed - tables.keys())
     if missing:
         raise ValueError(f"no such tables: {', '.join(missing)}")
     if not rules:
@@ -49,13 +51,15 @@ def evaluate(
         raise ValueError("rule ids must be unique")
     errors = [] if errors is None else errors
     tables = {name: nan_to_null(df) for name, df in tables.items()}
+    numbered = {_tag(i): rule for i, rule in enumerate(rules)}
     parts = []
     for table_name in dict.fromkeys(r.table_name for r in rules):
-        table_rules = [r for r in rules if r.table_name == table_name]
+        table_rules = {tag: r for tag, r in numbered.items() if r.table_name == table_name}
         parts += _table_parts(tables, tables[table_name], table_rules, ctx, errors)
-    counted = reduce(DataFrame.unionAll, parts)
     passed = F.col("total_records") - F.col("failed_records")
-    return counted.select(
+    registry = rule_frame(tables[rules[0].table_name].sparkSession, rules)
+    tagged = registry.withColumn("tag", F.concat(F.lit(TAG), "rule_order"))
+    return union_all(parts).join(tagged, "tag").select(
         F.lit(ctx.run_id).alias("run_id"),
         ctx.run_time_column().alias("run_time"),
         "table_name",
@@ -71,48 +75,73 @@ def evaluate(
     )
 
 
+TAG = "rule_"
+
+
+def _tag(position: int) -> str:
+    """The column that counts the failures of the rule at this position."""
+    return f"{TAG}{position}"
+
+
 def _table_parts(
     tables: dict[str, DataFrame],
     df: DataFrame,
-    rules: list[Rule],
+    rules: dict[str, Rule],
     ctx: RunContext,
     errors: list[RuleError],
 ) -> list[DataFrame]:
-    row_rules: list[tuple[Rule, Column]] = []
-    key_rules: dict[tuple[str, ...], list[Rule]] = {}
-    unchecked: list[Rule] = []
-    for rule in rules:
-        if isinstance(rule.check, (Unique, References)):
-            keys = rule.check.columns if isinstance(rule.check, Unique) else (rule.check.column,)
-            absent = [k for k in keys if column_type(df, k) is None]
-            if not absent:
-                key_rules.setdefault(keys, []).append(rule)
-                continue
-            if isinstance(rule.check, Unique):
-                _report(rule, f"no column {', '.join(absent)}", errors)
-            unchecked.append(rule)
+    """Frames of ``total_records, tag, failed_records`` that cover the rules of one table."""
+    by_key: dict[tuple[str, ...], dict[str, Rule]] = {}
+    row_rules: dict[str, Rule] = {}
+    unchecked: list[str] = []
+    for tag, rule in rules.items():
+        if not isinstance(rule.check, (Unique, References)):
+            row_rules[tag] = rule
             continue
-        violation = _planned(df, rule, ctx, errors)
-        if violation is None:
-            unchecked.append(rule)
-        else:
-            row_rules.append((rule, violation))
-    row_rules += [(rule, F.lit(False)) for rule in unchecked]
-    parts = [_row_part(df, row_rules)] if row_rules else []
-    return parts + [_key_part(tables, df, keys, group) for keys, group in key_rules.items()]
+        keys = rule.check.columns if isinstance(rule.check, Unique) else (rule.check.column,)
+        absent = [k for k in keys if column_type(df, k) is None]
+        if not absent:
+            by_key.setdefault(keys, {})[tag] = rule
+            continue
+        unchecked.append(tag)
+        # a reference from a column that is not there holds, any other check is at fault
+        if isinstance(rule.check, Unique):
+            _report(rule, f"no column {', '.join(absent)}", errors)
+    violations = _violations(df, row_rules, ctx, errors)
+    violations.update({tag: F.lit(False) for tag in unchecked})
+    parts = [_row_part(df, violations)] if violations else []
+    return parts + [_key_part(tables, df, keys, group) for keys, group in by_key.items()]
+
+
+def _violations(
+    df: DataFrame, rules: dict[str, Rule], ctx: RunContext, errors: list[RuleError]
+) -> dict[str, Column]:
+    """The violation Column of every row rule; false for a rule that cannot be planned."""
+    as_of = ctx.as_of_column()
+    planned = {}
+    for tag, rule in rules.items():
+        try:
+            planned[tag] = rule.check(df, as_of)
+        except Exception as error:  # a faulty check must not stop the run
+            _report(rule, str(error), errors)
+            planned[tag] = F.lit(False)
+    try:
+        _check_boolean(df, list(planned.values()))
+    except Exception:
+        for tag in planned:
+            try:
+                _check_boolean(df, [planned[tag]])
+            except Exception as error:
+                _report(rules[tag], str(error), errors)
+                planned[tag] = F.lit(False)
+    return planned
 
 
-def _planned(df: DataFrame, rule: Rule, ctx: RunContext, errors: list[RuleError]) -> Column | None:
-    """The violation Column if Spark can resolve it over ``df``, else None."""
-    try:
-        violation = rule.check(df, ctx.as_of_column())
-        resolved = df.select(violation.alias("violation")).schema["violation"].dataType
-        if not isinstance(resolved, T.BooleanType):
-            raise TypeError(f"check gives {resolved.simpleString()}, not boolean")
-    except Exception as error:  # a faulty check must not stop the run
-        _report(rule, str(error), errors)
-        return None
-    return violation
+def _check_boolean(df: DataFrame, violations: list[Column]) -> None:
+    """Raise unless Spark resolves all violations over ``df`` as booleans."""
+    for field in df.select(*violations).schema:
+        if not isinstance(field.dataType, T.BooleanType):
+            raise TypeError(f"check gives {field.dataType.simpleString()}, not boolean")
 
 
 def _report(rule: Rule, message: str, errors: list[RuleError]) -> None:
@@ -120,36 +149,34 @@ def _report(rule: Rule, message: str, errors: list[RuleError]) -> None:
     errors.append(RuleError(rule.rule_id, message))
 
 
-def _row_part(df: DataFrame, rules: list[tuple[Rule, Column]]) -> DataFrame:
+def _row_part(df: DataFrame, violations: dict[str, Column]) -> DataFrame:
     counts = df.agg(
         F.count(F.lit(1)).alias("total_records"),
-        *[F.count_if(violation).alias(f"failed_{i}") for i, (_, violation) in enumerate(rules)],
+        *[F.count_if(violation).alias(tag) for tag, violation in violations.items()],
     )
-    return _rule_rows(counts, [rule for rule, _ in rules])
+    return _row_per_rule(counts, violations)
 
 
 def _key_part(
-    tables: dict[str, DataFrame], df: DataFrame, keys: tuple[str, ...], rules: list[Rule]
+    tables: dict[str, DataFrame], df: DataFrame, keys: tuple[str, ...], rules: dict[str, Rule]
 ) -> DataFrame:
     names = [f"key_{i}" for i in range(len(keys))]
     counts = df.groupBy(*[column(k).alias(n) for k, n in zip(keys, names)]).agg(
         F.count(F.lit(1)).alias("records")
     )
-    violations = []
-    for i, rule in enumerate(rules):
+    broken = {}
+    for tag, rule in rules.items():
         if isinstance(rule.check, Unique):
-            violations.append(F.col("records") > 1)
+            broken[tag] = F.col("records") > 1
         else:
-            counts = _flag_known(counts, tables, rule.check, column_type(df, keys[0]), f"known_{i}")
-            violations.append(F.col(f"known_{i}").isNull())
+            known = f"known_{tag}"
+            counts = _flag_known(counts, tables, rule.check, column_type(df, keys[0]), known)
+            broken[tag] = F.col(known).isNull()
     totals = counts.agg(
         count_or_zero(F.sum("records")).alias("total_records"),
-        *[
-            count_or_zero(F.sum(F.when(violation, F.col("records")))).alias(f"failed_{i}")
-            for i, violation in enumerate(violations)
-        ],
+        *[count_or_zero(F.sum(F.when(b, F.col("records")))).alias(tag) for tag, b in broken.items()],
     )
-    return _rule_rows(totals, rules)
+    return _row_per_rule(totals, rules)
 
 
 def _flag_known(
@@ -176,23 +203,5 @@ def _flag_known(
     return counts.join(known, key == F.col("parent_key"), "left").drop("parent_key")
 
 
-def _rule_rows(counts: DataFrame, rules: list[Rule]) -> DataFrame:
-    """One row of counts turned into one row per rule."""
-    return counts.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(rule.table_name).alias("table_name"),
-                        F.lit(rule.rule_id).alias("rule_id"),
-                        F.lit(rule.category).alias("category"),
-                        F.lit(rule.severity).alias("severity"),
-                        F.lit(rule.description).alias("description"),
-                        F.col("total_records"),
-                        F.col(f"failed_{i}").alias("failed_records"),
-                    )
-                    for i, rule in enumerate(rules)
-                ]
-            )
-        )
-    )
+def _row_per_rule(counts: DataFrame, tags: dict) -> DataFrame:
+    return counts.unpivot("total_records", list(tags), "tag", "failed_records")

@@ -2,17 +2,43 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vouch.functions.nulls import column, nan_to_null
-from vouch.functions.numeric import count_or_zero, number_text, pct
+from vouch.functions.frames import union_all
+from vouch.functions.nulls import column, nan_to_null, quoted
+from vouch.functions.numeric import number_text, pct
 
 SAMPLE_SIZE = 3
 
+# Kinds of columns; all but text are numeric.
+TEXT, WHOLE, FRACTION, TRUTH = "text", "whole", "fraction", "truth"
+
+# How each kind shows its values as whole and as fractional numbers, and as text.
+WHOLE_VALUE = {WHOLE: "cast(value AS bigint)", TRUTH: "cast(cast(value AS int) AS bigint)"}
+FRACTION_VALUE = {FRACTION: "cast(value AS double)"}
+
+
+@dataclass(frozen=True)
+class ProfiledColumn:
+    tag: str
+    table_name: str
+    position: int
+    column_name: str
+    kind: str
+
+
+def kind(data_type: T.DataType) -> str:
+    if isinstance(data_type, T.BooleanType):
+        return TRUTH
+    if isinstance(data_type, T.IntegralType):
+        return WHOLE
+    return FRACTION if isinstance(data_type, T.NumericType) else TEXT
+
 
 def profile(
     tables: dict[str, DataFrame],
@@ -33,136 +59,179 @@ def profile(
     if distinct not in ("exact", "approx"):
         raise ValueError(f"distinct must be exact or approx, not {distinct!r}")
     tables = {name: nan_to_null(df) for name, df in tables.items()}
-    if distinct == "approx":
-        return reduce(
-            DataFrame.unionAll, [_approximate(name, df, rsd) for name, df in tables.items()]
-        )
-    counted = [
-        (name, position, field, _values(df, field.name))
+    columns = [
+        ProfiledColumn(f"{name}.{position}", name, position, field.name, kind(field.dataType))
         for name, df in tables.items()
         for position, field in enumerate(df.schema)
     ]
-    rows = reduce(DataFrame.unionAll, [_exact(*part) for part in counted])
+    spark = next(iter(tables.values())).sparkSession
+    if distinct == "approx":
+        estimates = [
+            _estimates(df, [c for c in columns if c.table_name == name], rsd)
+            for name, df in tables.items()
+        ]
+        return _rows(spark, columns, union_all(estimates))
+    values = [(c, _values(tables[c.table_name], c)) for c in columns]
+    rows = _rows(spark, columns, _measures(values))
     if not samples:
         return rows
-    picked = reduce(DataFrame.unionAll, [_sample(*part) for part in counted])
-    return rows.join(picked, ["table_name", "position"], "left").select(
-        *rows.columns, F.coalesce("sample_values", F.lit("[]")).alias("sample_values")
+    picked = _samples(values).join(_column_frame(spark, columns).select("tag", "table_name", "position"), "tag")
+    return (
+        rows.join(picked.drop("tag"), ["table_name", "position"], "left")
+        .select(*rows.columns, F.coalesce("sample_values", F.lit("[]")).alias("sample_values"))
     )
 
 
-def _values(df: DataFrame, name: str) -> DataFrame:
-    return df.groupBy(column(name).alias("value")).agg(F.count(F.lit(1)).alias("records"))
+def _column_frame(spark: SparkSession, columns: list[ProfiledColumn]) -> DataFrame:
+    schema = pa.schema(
+        [
+            ("tag", pa.string()),
+            ("table_name", pa.string()),
+            ("position", pa.int32()),
+            ("column_name", pa.string()),
+            ("kind", pa.string()),
+        ]
+    )
+    return spark.createDataFrame(pa.Table.from_pylist([asdict(c) for c in columns], schema=schema))
 
 
-def is_numeric(data_type: T.DataType) -> bool:
-    return isinstance(data_type, (T.NumericType, T.BooleanType))
+def _values(df: DataFrame, profiled: ProfiledColumn) -> DataFrame:
+    value = column(profiled.column_name).alias("value")
+    return df.groupBy(value).agg(F.count(F.lit(1)).alias("records"))
 
 
-def _value_text(value: Column, data_type: T.DataType) -> Column:
-    if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return number_text(value.cast("double"))
-    if isinstance(data_type, T.BooleanType):
-        return F.initcap(value.cast("string"))
-    return value.cast("string")
+def _measures(values: list[tuple[ProfiledColumn, DataFrame]]) -> DataFrame:
+    """Counts, range and mean per column, from its distinct values."""
+    numbers = [
+        distinct.selectExpr(
+            f"{_literal(c.tag)} AS tag",
+            "records",
+            "value IS NOT NULL AS known",
+            f"{WHOLE_VALUE.get(c.kind, 'cast(NULL AS bigint)')} AS whole",
+            f"{FRACTION_VALUE.get(c.kind, 'cast(NULL AS double)')} AS fraction",
+        )
+        for c, distinct in values
+    ]
+    records, known = F.col("records"), F.col("known")
+    number = F.coalesce("fraction", F.col("whole").cast("double"))
+    return (
+        union_all(numbers)
+        .groupBy("tag")
+        .agg(
+            F.sum(records).alias("total_count"),
+            F.sum(F.when(known, 0).otherwise(records)).alias("null_count"),
+            F.count_if(known).alias("unique_count"),
+            F.min("whole").alias("least_whole"),
+            F.max("whole").alias("greatest_whole"),
+            F.min("fraction").alias("least_fraction"),
+            F.max("fraction").alias("greatest_fraction"),
+            F.try_divide(F.sum(number * records), F.sum(F.when(known, records))).alias("mean"),
+        )
+    )
 
 
-def _double(value: Column, data_type: T.DataType) -> Column:
-    if isinstance(data_type, T.BooleanType):
-        return value.cast("int").cast("double")
-    return value.cast("double")
+def _estimates(df: DataFrame, columns: list[ProfiledColumn], rsd: float) -> DataFrame:
+    """Like ``_measures`` in one aggregate over the table, with estimated distinct values."""
+    counts, lines = [F.count(F.lit(1)).alias("total_count")], []
+    for c in columns:
+        value, i = quoted(c.column_name), c.position
+        whole = WHOLE_VALUE.get(c.kind, "cast(NULL AS bigint)").replace("value", value)
+        fraction = FRACTION_VALUE.get(c.kind, "cast(NULL AS double)").replace("value", value)
+        measures = {
+            "nulls": f"count_if({value} IS NULL)",
+            "distinct": f"approx_count_distinct({value}, {rsd})",
+            "min_whole": f"min({whole})",
+            "max_whole": f"max({whole})",
+            "min_fraction": f"min({fraction})",
+            "max_fraction": f"max({fraction})",
+            "mean": f"avg(coalesce({fraction}, cast({whole} AS double)))",
+        }
+        counts += [F.expr(f"{text} AS {measure}_{i}") for measure, text in measures.items()]
+        lines.append(", ".join([_literal(c.tag), "total_count", *[f"{measure}_{i}" for measure in measures]]))
+    names = (
+        "tag, total_count, null_count, unique_count, least_whole, greatest_whole, "
+        "least_fraction, greatest_fraction, mean"
+    )
+    return df.agg(*counts).selectExpr(f"stack({len(columns)}, {', '.join(lines)}) AS ({names})")
+
+
+def _rows(spark: SparkSession, columns: list[ProfiledColumn], measures: DataFrame) -> DataFrame:
+    """The profile of every column; a table without records has no measures."""
+    total, nulls, distinct = F.col("total_count"), F.col("null_count"), F.col("unique_count")
+    return (
+        _column_frame(spark, columns)
+        .join(measures, "tag", "left")
+        .na.fill(0, ["total_count", "null_count", "unique_count"])
+        .select(
+            "table_name",
+            "position",
+            "column_name",
+            "total_count",
+            "null_count",
+            F.when(total > 0, pct(nulls, total, 2)).alias("null_pct"),
+            "unique_count",
+            pct(distinct, total, 2).alias("uniqueness_pct"),
+            (F.col("kind") != TEXT).alias("is_numeric"),
+            _extreme("least").alias("min_value"),
+            _extreme("greatest").alias("max_value"),
+            # + 0.0 turns a negative zero into zero
+            (F.bround("mean", 2) + F.lit(0.0)).alias("mean_value"),
+        )
+    )
 
 
-def _exact(name: str, position: int, field: T.StructField, values: DataFrame) -> DataFrame:
-    value, records = F.col("value"), F.col("records")
-    counts = [
-        count_or_zero(F.sum(records)).alias("total_count"),
-        count_or_zero(F.sum(F.when(value.isNull(), records))).alias(f"null_count_{position}"),
-        F.count(value).alias(f"unique_count_{position}"),
-    ]
-    if is_numeric(field.dataType):
-        total = F.sum(_double(value, field.dataType) * records)
-        known = F.sum(F.when(value.isNotNull(), records))
-        counts += _range(value, position) + [F.try_divide(total, known).alias(f"mean_{position}")]
-    return values.agg(*counts).select(F.inline(F.array(_line(name, position, field))))
-
-
-def _approximate(name: str, df: DataFrame, rsd: float) -> DataFrame:
-    counts = [F.count(F.lit(1)).alias("total_count")]
-    for position, field in enumerate(df.schema):
-        value = column(field.name)
-        counts += [
-            F.count_if(value.isNull()).alias(f"null_count_{position}"),
-            F.approx_count_distinct(value, rsd).alias(f"unique_count_{position}"),
-        ]
-        if is_numeric(field.dataType):
-            mean = F.avg(_double(value, field.dataType))
-            counts += _range(value, position) + [mean.alias(f"mean_{position}")]
-    lines = [_line(name, position, field) for position, field in enumerate(df.schema)]
-    return df.agg(*counts).select(F.inline(F.array(*lines)))
-
-
-def _range(value: Column, position: int) -> list[Column]:
-    return [F.min(value).alias(f"least_{position}"), F.max(value).alias(f"greatest_{position}")]
-
-
-def _line(name: str, position: int, field: T.StructField) -> Column:
-    """The profile of one column as a struct over the counts of its table."""
-    total = F.col("total_count")
-    nulls, distinct = F.col(f"null_count_{position}"), F.col(f"unique_count_{position}")
-    numeric = is_numeric(field.dataType)
-    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
-
-    def text(measure: str) -> Column:
-        return _value_text(F.col(f"{measure}_{position}"), field.dataType) if numeric else no_text
-
-    return F.struct(
-        F.lit(name).alias("table_name"),
-        F.lit(position).alias("position"),
-        F.lit(field.name).alias("column_name"),
-        total.alias("total_count"),
-        nulls.alias("null_count"),
-        F.when(total > 0, pct(nulls, total, 2)).alias("null_pct"),
-        distinct.alias("unique_count"),
-        pct(distinct, total, 2).alias("uniqueness_pct"),
-        F.lit(numeric).alias("is_numeric"),
-        text("least").alias("min_value"),
-        text("greatest").alias("max_value"),
-        (F.bround(F.col(f"mean_{position}"), 2) + F.lit(0.0) if numeric else no_number).alias("mean_value"),
+def _extreme(measure: str) -> Column:
+    whole, fraction = F.col(f"{measure}_whole"), F.col(f"{measure}_fraction")
+    truth = F.initcap(whole.cast("boolean").cast("string"))
+    return F.when(F.col("kind") == TRUTH, truth).otherwise(
+        F.coalesce(whole.cast("string"), number_text(fraction))
     )
 
 
-def _sample(name: str, position: int, field: T.StructField, values: DataFrame) -> DataFrame:
-    """Up to three non-null values: distinct ones first, in an order as good as random.
+def _samples(values: list[tuple[ProfiledColumn, DataFrame]]) -> DataFrame:
+    """Up to three non-null values per column, in an order as good as random.
 
-    Counts are kept so that this reads the same shuffle of values as the counts do.
+    Distinct values come first, repeated ones fill up. Each column reads the shuffle of
+    its values a second time, and every task passes on three of them.
     """
-    text = _value_text(F.col("value"), field.dataType)
-    if not is_numeric(field.dataType):
-        text = _quoted(text)
-    first = (
-        values.orderBy(F.col("value").isNull(), F.xxhash64("value"), "value")
+    picked = [
+        distinct.orderBy(F.expr("value IS NULL"), F.xxhash64("value"), "value")
         .limit(SAMPLE_SIZE)
-        .where(F.col("value").isNotNull())
-    )
-    picked = F.sort_array(
-        F.collect_list(F.struct(F.xxhash64("value").alias("place"), text.alias("text"), "records"))
-    )
-    distinct = F.transform(picked, lambda p: p["text"])
-    repeats = F.flatten(
-        F.transform(
-            picked,
-            lambda p: F.array_repeat(p["text"], F.least(p["records"] - 1, F.lit(SAMPLE_SIZE)).cast("int")),
+        .selectExpr(
+            f"{_literal(c.tag)} AS tag",
+            "value IS NOT NULL AS known",
+            "xxhash64(value) AS place",
+            f"{_sample_text(c)} AS text",
+            f"cast(least(records - 1, {SAMPLE_SIZE}) AS int) AS repeats",
+        )
+        for c, distinct in values
+    ]
+    lines = F.sort_array(F.collect_list(F.struct("place", "text", "repeats")))
+    listed = "concat(transform(lines, l -> l.text), flatten(transform(lines, l -> array_repeat(l.text, l.repeats))))"
+    return (
+        union_all(picked)
+        .where("known")
+        .groupBy("tag")
+        .agg(lines.alias("lines"))
+        .selectExpr(
+            "tag", f"concat('[', array_join(slice({listed}, 1, {SAMPLE_SIZE}), ', '), ']') AS sample_values"
         )
     )
-    listed = F.array_join(F.slice(F.concat(distinct, repeats), 1, SAMPLE_SIZE), ", ")
-    return first.agg(F.concat(F.lit("["), listed, F.lit("]")).alias("sample_values")).select(
-        F.lit(name).alias("table_name"), F.lit(position).alias("position"), "sample_values"
+
+
+def _sample_text(profiled: ProfiledColumn) -> str:
+    """SQL for a value as it shows in a list: numbers bare, all else in quotes."""
+    if profiled.kind == TRUTH:
+        return "initcap(cast(value AS string))"
+    if profiled.kind != TEXT:
+        return "cast(value AS string)"
+    backslash, quote = r"'\\'", r"'\''"
+    escaped = rf"replace(replace(cast(value AS string), {backslash}, '\\\\'), '\n', '\\n')"
+    return (
+        rf"""CASE WHEN contains(cast(value AS string), {quote}) AND NOT contains(cast(value AS string), '"') """
+        rf"""THEN concat('"', {escaped}, '"') ELSE concat({quote}, replace({escaped}, {quote}, '\\\''), {quote}) END"""
     )
 
 
-def _quoted(text: Column) -> Column:
-    escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
-    single = F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), F.lit("'"))
-    only_single = F.contains(text, F.lit("'")) & ~F.contains(text, F.lit('"'))
-    return F.when(only_single, F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(single)
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vouch.functions.frames import union_all
 from vouch.functions.numeric import pct
 from vouch.plans.context import RunContext
 
 
 def count_records(tables: dict[str, DataFrame]) -> DataFrame:
     """``table_name, loaded_count`` of every table."""
-    return reduce(
-        DataFrame.unionAll,
+    return union_all(
         [
             df.agg(F.count(F.lit(1)).alias("loaded_count")).select(
                 F.lit(name).alias("table_name"), "loaded_count"

@@ -111,14 +111,18 @@ def raw(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
 SOURCES = ("customer", "nation", "orders", "lineitem", "events")
 
 
-def from_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """A query over given tables whose names stand in braces."""
-    return spark.sql(text, **raw(spark, sf_dir, *[t for t in SOURCES if "{" + t + "}" in text]))
+def from_sql(spark: SparkSession, sf_dir: str, *texts: str) -> list[DataFrame]:
+    """Queries over given tables whose names stand in braces."""
+    read = raw(spark, sf_dir, *[t for t in SOURCES if any("{" + t + "}" in text for text in texts)])
+    return [
+        spark.sql(text, **{t: df for t, df in read.items() if "{" + t + "}" in text}) for text in texts
+    ]
 
 
 def dirty(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     """The dirty views of these names, by default all four."""
-    return {name: from_sql(spark, sf_dir, DIRTY_VIEWS[name]) for name in names or DIRTY_VIEWS}
+    names = names or tuple(DIRTY_VIEWS)
+    return dict(zip(names, from_sql(spark, sf_dir, *[DIRTY_VIEWS[n] for n in names])))
 
 
 def plain(text: str) -> str:

@@ -129,7 +129,8 @@ def load_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _load_text(spark: SparkSession, sf_dir: str, text: str, schema: dict[str, str]) -> DataFrame:
     folder = new_folder(spark)
     (name, columns), = schema.items()
-    _write_csv(from_sql(spark, sf_dir, text), f"{folder}/{name}.csv")
+    (contents,) = from_sql(spark, sf_dir, text)
+    _write_csv(contents, f"{folder}/{name}.csv")
     types = StructType.fromDDL(columns)
     return load_tables(spark, folder, {name: types})[name]
 
@@ -194,7 +195,8 @@ def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _register_table(table: str) -> None:
-    names = {table, "patients"}
+    names = {table}
+    names |= {r.check.parent_table for r in rules_for(HEALTHCARE_RULES, table) if isinstance(r.check, References)}
 
     @query(f"dq_results_{table}")
     def table_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +315,8 @@ UNION ALL SELECT 'lab_results', 2 * count(*) FROM {lineitem}
 
 
 def _reconciled(spark: SparkSession, sf_dir: str, counts: str = SOURCE_COUNTS) -> DataFrame:
-    return reconcile(dirty(spark, sf_dir), from_sql(spark, sf_dir, counts), CONTEXT)
+    (sent,) = from_sql(spark, sf_dir, counts)
+    return reconcile(dirty(spark, sf_dir), sent, CONTEXT)
 
 
 @query("reconcile")
