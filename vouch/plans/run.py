@@ -16,7 +16,7 @@ from vouch.plans.context import RunContext
 from vouch.plans.reports import HEALTHCARE_REPORTS, Report
 from vouch.plans.rules import HEALTHCARE_RULES, Rule, registry_frame
 from vouch.sources.sinks import load_governance, record_run
-from vouch.sources.staging import settle, stage
+from vouch.sources.staging import new_folder, remove, settle, stage
 
 
 def run_all(
@@ -33,12 +33,17 @@ def run_all(
 
     Rule results and profiles are worked out once and kept in the shared folder; the rest
     derives from them without touching the tables again. Set ``stage_inputs`` for text
-    files, joins and views, which would otherwise be read anew by every pass.
+    files, joins and views, which would otherwise be read anew by every pass; the staged
+    copies go once results and profiles are settled.
     """
-    if stage_inputs:
-        tables = stage(tables)
+    spark = next(iter(tables.values())).sparkSession
+    folder = new_folder(spark) if stage_inputs else None
+    if folder:
+        tables = stage(tables, folder)
     results = settle(evaluate(tables, rules, ctx, errors))
     profiled = settle(profile(tables, samples=distinct == "exact", distinct=distinct))
+    if folder:
+        remove(spark, folder)
     if "sample_values" not in profiled.columns:
         profiled = profiled.withColumn("sample_values", F.lit(None).cast("string"))
     # every column knows its table's count

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,17 +30,29 @@ def new_folder(spark: SparkSession) -> str:
 
 
 def stage(tables: dict[str, DataFrame], folder: str | None = None) -> dict[str, DataFrame]:
-    """The tables written as Parquet and read back.
+    """The tables written as Parquet and read back, by default in a new shared folder.
 
     Worth it before several passes over a join, a view or a text file: each pass then reads
-    only its columns, and a lost executor costs no recomputation of the input.
+    only its columns, and a lost executor costs no recomputation of the input. The tables
+    are written side by side, so that small ones do not wait for the tail of a large one.
     """
-    staged = {}
-    for name, df in tables.items():
-        folder = folder or new_folder(df.sparkSession)
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
-        staged[name] = df.sparkSession.read.parquet(f"{folder}/{name}")
-    return staged
+    if not tables:
+        return {}
+    spark = next(iter(tables.values())).sparkSession
+    folder = folder or new_folder(spark)
+
+    def write(name: str) -> None:
+        tables[name].write.mode("overwrite").parquet(f"{folder}/{name}")
+
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        list(pool.map(write, tables))
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in tables}
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a staging folder once nothing reads it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -47,7 +60,8 @@ def settle(df: DataFrame) -> DataFrame:
 
     For frames of rule results and profiles, which several consumers read.
     """
-    shared_folder(df.sparkSession)
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
+    context = df.sparkSession.sparkContext
+    folder = shared_folder(df.sparkSession)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return df.checkpoint()
