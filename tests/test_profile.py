@@ -99,6 +99,8 @@ def test_estimated_distinct_values(table, spark):
     assert exact == estimated
     many = profile({"t": spark.range(20000)}, distinct="approx").first()
     assert abs(many.unique_count - 20000) < 1000
+    blank = spark.createDataFrame([("",), ("",), ("x",), (None,)], "v string")
+    assert profile({"t": blank}, distinct="approx").first().unique_count == 2
     empty = profile({"t": table.limit(0)}, distinct="approx").first()
     assert (empty.total_count, empty.unique_count, empty.null_pct) == (0, 0, None)
     with pytest.raises(ValueError, match="distinct"):
