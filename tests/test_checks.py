@@ -51,6 +51,12 @@ def test_in_set_lets_null_pass(spark, ctx):
     assert broken(frame(spark, ["M", "m", None, "UNKNOWN"]), ctx, in_set("v", "M", "F")) == {1, 3}
 
 
+def test_in_set_across_types(spark, ctx):
+    assert broken(frame(spark, [1, 7, None], "int"), ctx, in_set("v", "1", "x")) == {1}
+    assert broken(frame(spark, [1, 7, None], "int"), ctx, in_set("v", 1, 2)) == {1}
+    assert broken(frame(spark, ["1", "abc", None]), ctx, in_set("v", 1, 2)) == {1}
+
+
 def test_matches_reports_null(spark, ctx):
     zips = ["12345", "01234", "0000", "123456", "12A45", None, "12345\n", " 12345", ""]
     assert broken(frame(spark, zips), ctx, matches("v", "[0-9]{5}")) == {2, 3, 4, 5, 6, 7, 8}

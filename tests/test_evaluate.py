@@ -86,6 +86,16 @@ def test_faulty_checks_count_as_passed_and_are_reported(spark, ctx, caplog):
     assert "R2" in caplog.text
 
 
+def test_keys_that_cannot_be_compared_are_reported(spark, ctx):
+    child = spark.createDataFrame([(1, {"x": 1}), (1, {"x": 2})], "v int, m map<string,int>")
+    parent = spark.createDataFrame([([1],)], "k array<int>")
+    rules = [rule("U", unique("m")), rule("P", references("v", "p", "k")), rule("V", unique("v"))]
+    errors = []
+    results = evaluate({"t": child, "p": parent}, rules, ctx, errors)
+    assert as_set(results, "rule_id", "total_records", "failed_records") == {("U", 2, 0), ("P", 2, 0), ("V", 2, 2)}
+    assert {e.rule_id for e in errors} == {"U", "P"}
+
+
 def test_reference_from_an_absent_column_holds(spark, ctx):
     df = spark.createDataFrame([("a",)], "v string")
     errors = []

@@ -6,6 +6,7 @@ import pytest
 from helpers import as_set, results_frame
 from pyspark.sql import types as T
 
+from vouch.__main__ import main
 from vouch.functions.nulls import NULL_TOKENS
 from vouch.operators.audit import audit_log
 from vouch.operators.runs import run_record
@@ -14,8 +15,8 @@ from vouch.operators.views import latest_scores
 from vouch.plans.run import run_all, write_governance
 from vouch.plans.rules import HEALTHCARE_RULES
 from vouch.sources.load import load_tables
-from vouch.sources.schemas import GOVERNANCE_COLUMNS, HEALTHCARE_SCHEMAS
-from vouch.sources.sinks import load_governance, read_governance, record_run, write_results
+from vouch.sources.schemas import GOVERNANCE_COLUMNS, GOVERNANCE_DEFAULTS, HEALTHCARE_SCHEMAS
+from vouch.sources.sinks import load_governance, read_governance, record_run, register_views, write_results
 from vouch.sources.staging import shared_folder, stage
 from vouch.suite.fixtures import dirty
 
@@ -150,7 +151,7 @@ def test_a_whole_run_from_csv(spark, ctx, tmp_path, stage_inputs, distinct):
     write_governance(frames, ctx, f"{tmp_path}/out")
     read = {n: read_governance(spark, f"{tmp_path}/out", n) for n in GOVERNANCE_COLUMNS}
     for name, columns in GOVERNANCE_COLUMNS.items():
-        assert set(read[name].columns) == {*columns, "run_id"}
+        assert set(read[name].columns) == {*columns, *GOVERNANCE_DEFAULTS.get(name, {}), "run_id"}
     assert read["dq_results"].count() == 30
     assert read["data_profile"].count() == 29
     recon = {r.table_name: r for r in read["reconciliation"].collect()}
@@ -158,3 +159,25 @@ def test_a_whole_run_from_csv(spark, ctx, tmp_path, stage_inputs, distinct):
     assert recon["lab_results"].status == "MATCH"
     assert spark.read.parquet(f"{tmp_path}/out/dq_runs").count() == 1
     assert spark.read.parquet(f"{tmp_path}/out/dq_rule_registry").count() == 30
+    register_views(spark, f"{tmp_path}/out")
+    assert spark.sql("SELECT count(*) FROM vw_latest_dq_scores").first()[0] == 4
+    worst = spark.sql("SELECT DISTINCT severity FROM vw_open_critical_issues")
+    assert as_set(worst, "severity") == {("Critical",), ("High",)}
+    unsent = spark.sql("SELECT count(*) AS n FROM downstream_impact WHERE NOT notified").first().n
+    assert unsent == read["downstream_impact"].count()
+
+
+def test_command_line(spark, tmp_path, capsys):
+    for name, df in dirty(spark, "/root/testdata/sf0.001").items():
+        df.write.parquet(f"{tmp_path}/in/{name}.parquet")
+    (tmp_path / "counts.csv").write_text("table_name,source_count\npatients,100\n")
+    main(
+        [
+            f"{tmp_path}/in", f"{tmp_path}/out", "--format", "parquet", "--as-of", "2026-01-01",
+            "--source-counts", f"{tmp_path}/counts.csv",
+        ]
+    )
+    assert "patients" in capsys.readouterr().out
+    recon = spark.read.option("header", True).csv(f"{tmp_path}/out/results/reconciliation.csv")
+    assert ("patients", "100", "150", "50.0") in as_set(recon, "table_name", "source_count", "loaded_count", "delta_pct")
+    assert read_governance(spark, f"{tmp_path}/out/governance", "audit_log").count() > 20

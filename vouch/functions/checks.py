@@ -71,9 +71,20 @@ def not_null(name: str) -> RowCheck:
     return lambda df, as_of: column(name).isNull()
 
 
-def in_set(name: str, *allowed: str) -> RowCheck:
-    """A value outside ``allowed`` breaks the rule; null does not."""
-    return lambda df, as_of: ~column(name).isin(*allowed)
+def in_set(name: str, *allowed: str | int | float) -> RowCheck:
+    """A value outside ``allowed`` breaks the rule; null does not.
+
+    Values of other types than the column are compared as text.
+    """
+
+    def check(df: DataFrame, as_of: Column) -> Column:
+        if isinstance(column_type(df, name), T.NumericType) and not any(
+            isinstance(a, str) for a in allowed
+        ):
+            return ~column(name).isin(*allowed)
+        return ~column(name).cast("string").isin(*[str(a) for a in allowed])
+
+    return check
 
 
 def matches(name: str, pattern: str) -> RowCheck:

@@ -107,10 +107,20 @@ def _table_parts(
         # a reference from a column that is not there holds, any other check is at fault
         if isinstance(rule.check, Unique):
             _report(rule, f"no column {', '.join(absent)}", errors)
+    key_parts = []
+    for keys, group in by_key.items():
+        try:
+            key_parts.append(_key_part(tables, df, keys, group))
+        except Exception:
+            for tag, rule in group.items():
+                try:
+                    key_parts.append(_key_part(tables, df, keys, {tag: rule}))
+                except Exception as error:  # such as a key of another type than its parent
+                    _report(rule, str(error), errors)
+                    unchecked.append(tag)
     violations = _violations(df, row_rules, ctx, errors)
     violations.update({tag: F.lit(False) for tag in unchecked})
-    parts = [_row_part(df, violations)] if violations else []
-    return parts + [_key_part(tables, df, keys, group) for keys, group in by_key.items()]
+    return ([_row_part(df, violations)] if violations else []) + key_parts
 
 
 def _violations(

@@ -67,3 +67,13 @@ GOVERNANCE_COLUMNS = {
         "description", "records_affected", "action_taken", "resolved",
     ),
 }
+
+# Columns of the governance tables that no run fills, as SQL defaults.
+GOVERNANCE_DEFAULTS = {
+    "reconciliation": {"notes": "cast(NULL AS string)"},
+    "downstream_impact": {"notified": "false"},
+    "audit_log": {
+        "resolved_by": "cast(NULL AS string)",
+        "resolved_at": "cast(NULL AS timestamp)",
+    },
+}

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vouch.operators.runs import new_runs
-from vouch.sources.schemas import GOVERNANCE_COLUMNS
+from vouch.operators.views import latest_scores, open_critical_issues
+from vouch.sources.schemas import GOVERNANCE_COLUMNS, GOVERNANCE_DEFAULTS
 
 
 def write_results(frames: dict[str, DataFrame], path: str, file_format: str = "csv") -> None:
@@ -32,6 +34,8 @@ def load_governance(frames: dict[str, DataFrame], path: str, run_id: str, keep_h
     """
     for name, frame in frames.items():
         rows = governance_frame(name, frame)
+        for column, default in GOVERNANCE_DEFAULTS.get(name, {}).items():
+            rows = rows.withColumn(column, F.expr(default))
         target = f"{path}/{name}"
         if keep_history:
             rows, target = rows.drop("run_id"), f"{target}/run_id={run_id}"
@@ -42,6 +46,19 @@ def read_governance(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}")
 
 
+def register_views(spark: SparkSession, path: str) -> list[str]:
+    """Temporary views over the governance tables under ``path``, for queries in SQL.
+
+    ``vw_latest_dq_scores`` needs the history of runs; ``vw_open_critical_issues`` lists
+    the entries of all runs it finds.
+    """
+    for name in ("dq_runs", "dq_rule_registry", *GOVERNANCE_COLUMNS):
+        read_governance(spark, path, name).createOrReplaceTempView(name)
+    latest_scores(spark.table("dq_scores")).createOrReplaceTempView("vw_latest_dq_scores")
+    open_critical_issues(spark.table("audit_log")).createOrReplaceTempView("vw_open_critical_issues")
+    return ["dq_runs", "dq_rule_registry", *GOVERNANCE_COLUMNS, "vw_latest_dq_scores", "vw_open_critical_issues"]
+
+
 def record_run(record: DataFrame, path: str) -> None:
     """Append ``record`` to ``dq_runs`` unless its run id is there already.
 
