@@ -25,7 +25,7 @@ from vouch.plans.rules import HEALTHCARE_RULES, registry_frame, rules_for
 from vouch.sources.load import load_tables
 from vouch.sources.schemas import HEALTHCARE_SCHEMAS
 from vouch.sources.sinks import governance_frame
-from vouch.sources.staging import new_folder, settle, stage
+from vouch.sources.staging import new_folder, remove, settle, stage
 from vouch.suite import fixtures
 from vouch.suite.fixtures import AS_OF, CONTEXT, RAW_REPORTS, RAW_RULES, RAW_TABLES, dirty, from_sql, raw
 
@@ -105,7 +105,9 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark)
     for name, df in dirty(spark, sf_dir).items():
         _write_csv(df, f"{folder}/{name}.csv")
-    return count_records(load_tables(spark, folder))
+    counted = settle(count_records(load_tables(spark, folder)))
+    remove(spark, folder)
+    return counted
 
 
 @query("load_null_tokens")
@@ -171,6 +173,14 @@ def rule_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry_frame(spark, HEALTHCARE_RULES, CONTEXT).drop("created_at").join(outcome, "rule_id")
 
 
+def _staged_profile(spark: SparkSession, sf_dir: str, *names: str, samples: bool = False) -> DataFrame:
+    """The profile of dirty views, which are staged for it and removed after it."""
+    folder = new_folder(spark)
+    profiled = settle(profile(stage(dirty(spark, sf_dir, *names), folder), samples))
+    remove(spark, folder)
+    return profiled
+
+
 # --- rules
 
 
@@ -205,7 +215,7 @@ def _register_table(table: str) -> None:
 
     @query(f"profile_{table}")
     def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return profile(stage(dirty(spark, sf_dir, table)), samples=False)
+        return _staged_profile(spark, sf_dir, table)
 
 
 for _name in fixtures.DIRTY_VIEWS:
@@ -264,12 +274,13 @@ def downstream_impact_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("profile_all")
 def profile_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile(stage(dirty(spark, sf_dir)), samples=False)
+    return _staged_profile(spark, sf_dir)
 
 
 @query("profile_sample")
 def profile_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile(stage(dirty(spark, sf_dir))).select("table_name", "column_name", "sample_values")
+    profiled = _staged_profile(spark, sf_dir, samples=True)
+    return profiled.select("table_name", "column_name", "sample_values")
 
 
 @query("profile_raw")
@@ -277,24 +288,19 @@ def profile_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(raw(spark, sf_dir, "lineitem", "supplier"), samples=False)
 
 
-def _patient_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile(stage(dirty(spark, sf_dir, "patients")), samples=False)
-
-
 @query("profile_null_rank")
 def profile_null_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.profile_null_rank(_patient_profile(spark, sf_dir), "patients")
+    return marts.profile_null_rank(_staged_profile(spark, sf_dir, "patients"), "patients")
 
 
 @query("profile_uniqueness_rank")
 def profile_uniqueness_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.profile_uniqueness_rank(_patient_profile(spark, sf_dir), "patients")
+    return marts.profile_uniqueness_rank(_staged_profile(spark, sf_dir, "patients"), "patients")
 
 
 @query("profile_display")
 def profile_display(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = stage(dirty(spark, sf_dir, "encounters"))
-    return marts.profile_display(profile(tables, samples=False), "encounters")
+    return marts.profile_display(_staged_profile(spark, sf_dir, "encounters"), "encounters")
 
 
 # --- reconciliation
