@@ -4,6 +4,7 @@ from dataclasses import replace
 
 import pytest
 from helpers import as_set, results_frame
+from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
 from vouch.__main__ import main
@@ -17,7 +18,7 @@ from vouch.plans.rules import HEALTHCARE_RULES
 from vouch.sources.load import load_tables
 from vouch.sources.schemas import GOVERNANCE_COLUMNS, GOVERNANCE_DEFAULTS, HEALTHCARE_SCHEMAS
 from vouch.sources.sinks import load_governance, read_governance, record_run, register_views, write_results
-from vouch.sources.staging import shared_folder, stage
+from vouch.sources.staging import new_folder, remove, settle, shared_folder, stage
 from vouch.suite.fixtures import dirty
 
 SCHEMA = T.StructType(
@@ -89,6 +90,16 @@ def test_stage_reads_back_the_same_rows(spark):
     assert stage({}) == {}
 
 
+def test_staged_copies_can_be_removed(spark):
+    folder = new_folder(spark)
+    stage({"a": spark.range(10)}, folder)
+    kept = settle(spark.read.parquet(f"{folder}/a"))
+    remove(spark, folder)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{folder}/a")
+    assert kept.count() == 10
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_folder(spark) == (named or spark.sparkContext.getCheckpointDir())

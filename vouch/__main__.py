@@ -1,6 +1,6 @@
 """Run the healthcare rules over a folder of tables and load the governance tables.
 
-    spark-submit --py-files ... -m vouch INPUT OUTPUT [--format csv] [--as-of 2026-01-01]
+    python -m vouch INPUT OUTPUT [--format csv] [--as-of 2026-01-01]
 """
 
 from __future__ import annotations

@@ -21,7 +21,7 @@ FAILED = "FAIL"
 
 
 def severity_rank(severity: str = "severity") -> Column:
-    """0 for the worst severity; NULL for an unknown one, which sorts last."""
+    """0 for the worst severity; an unknown one ranks last."""
     ranks = F.create_map(*[F.lit(x) for pair in SEVERITY_RANKS.items() for x in pair])
     return F.coalesce(F.try_element_at(ranks, F.col(severity)), F.lit(len(SEVERITY_RANKS)))
 

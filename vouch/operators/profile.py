@@ -21,9 +21,9 @@ SKETCH_BITS = 14
 # Kinds of columns; all but text are numeric.
 TEXT, WHOLE, FRACTION, TRUTH = "text", "whole", "fraction", "truth"
 
-# How each kind shows its values as whole and as fractional numbers, and as text.
-WHOLE_VALUE = {WHOLE: "cast(value AS bigint)", TRUTH: "cast(cast(value AS int) AS bigint)"}
-FRACTION_VALUE = {FRACTION: "cast(value AS double)"}
+# SQL for a value as a whole and as a fractional number, by kind.
+WHOLE_VALUE = {WHOLE: "cast({value} AS bigint)", TRUTH: "cast(cast({value} AS int) AS bigint)"}
+FRACTION_VALUE = {FRACTION: "cast({value} AS double)"}
 
 
 @dataclass(frozen=True)
@@ -102,18 +102,27 @@ def _values(df: DataFrame, profiled: ProfiledColumn) -> DataFrame:
     return df.groupBy(value).agg(F.count(F.lit(1)).alias("records"))
 
 
+def _numbers(kind: str, value: str) -> tuple[str, str]:
+    """SQL for ``value`` as a whole and as a fractional number, NULL where its kind has none."""
+    whole = WHOLE_VALUE.get(kind, "cast(NULL AS bigint)").format(value=value)
+    fraction = FRACTION_VALUE.get(kind, "cast(NULL AS double)").format(value=value)
+    return whole, fraction
+
+
 def _measures(values: list[tuple[ProfiledColumn, DataFrame]]) -> DataFrame:
     """Counts, range and mean per column, from its distinct values."""
-    numbers = [
-        distinct.selectExpr(
-            f"{_literal(c.tag)} AS tag",
-            "records",
-            "value IS NOT NULL AS known",
-            f"{WHOLE_VALUE.get(c.kind, 'cast(NULL AS bigint)')} AS whole",
-            f"{FRACTION_VALUE.get(c.kind, 'cast(NULL AS double)')} AS fraction",
+    numbers = []
+    for c, distinct in values:
+        whole, fraction = _numbers(c.kind, "value")
+        numbers.append(
+            distinct.selectExpr(
+                f"{_literal(c.tag)} AS tag",
+                "records",
+                "value IS NOT NULL AS known",
+                f"{whole} AS whole",
+                f"{fraction} AS fraction",
+            )
         )
-        for c, distinct in values
-    ]
     records, known = F.col("records"), F.col("known")
     number = F.coalesce("fraction", F.col("whole").cast("double"))
     return (
@@ -140,8 +149,7 @@ def _estimates(df: DataFrame, columns: list[ProfiledColumn]) -> DataFrame:
     counts, lines = [F.count(F.lit(1)).alias("total_count")], []
     for c in columns:
         value, i = quoted(c.column_name), c.position
-        whole = WHOLE_VALUE.get(c.kind, "cast(NULL AS bigint)").replace("value", value)
-        fraction = FRACTION_VALUE.get(c.kind, "cast(NULL AS double)").replace("value", value)
+        whole, fraction = _numbers(c.kind, value)
         measures = {
             "nulls": f"count_if({value} IS NULL)",
             "distinct": f"hll_sketch_estimate(hll_sketch_agg(nvl2({value}, xxhash64({value}), NULL), {SKETCH_BITS}))",
