@@ -23,7 +23,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words(text: Column) -> Column:
     """The runs of characters between ASCII white space; null has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAKS, -1), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_BREAKS, -1), "")
 
 
 def ascii_lower(text: Column) -> Column:

@@ -1,11 +1,11 @@
-"""Quality rules: base counts of a text, and a hashed n-gram likelihood ratio."""
+"""Quality rules: base counts of a text, and a hashed n-gram likelihood ratio (words and pairs of words)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vouch.llm.frames import WORD_BREAKS, let, words
+from vouch.llm.frames import let, words
 
 #: Buckets of hashed words and word pairs: the size of the model, whatever the corpus.
 BUCKETS = 1 << 15
@@ -16,51 +16,70 @@ THRESHOLD = -70_000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-_SYMBOLS = r"[^#*$%&|<>]+"
+SYMBOLS = r"[#*$%&|<>]"
+
+#: Bits for a place within a text, beside the upper bits of a hash.
+PLACE_BITS = 24
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
     """The frame with its ``words`` and the base counts; a null text has none of anything."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    return docs.withColumn("words", words(F.col("text"))).withColumns(
+    return with_repeated_words(docs.withColumn("words", words(F.col("text")))).withColumns(
         {
             "n_words": F.size("words").cast("bigint"),
-            "word_chars": F.length(F.regexp_replace(text, WORD_BREAKS, "")).cast("bigint"),
-            "n_symbols": F.length(F.regexp_replace(text, _SYMBOLS, "")).cast("bigint"),
+            "word_chars": F.length(F.array_join("words", "")).cast("bigint"),
+            "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("bigint"),
             "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
-            "n_repeat_words": repeated_words(F.col("words")),
         }
     )
 
 
-def repeated_words(listed: Column) -> Column:
-    """The number of words in windows of three that occur twice or more.
+def with_repeated_words(df: DataFrame) -> DataFrame:
+    """The frame with ``n_repeat_words``: words in windows of three that occur twice or more.
 
-    Windows are sorted by a 64-bit hash of their words, so that equal ones are neighbours: a
-    text of n words takes n log n steps, however often it repeats itself.
+    Texts whose windows all differ are done after a count of distinct ones. In the others,
+    sorting puts equal windows side by side, so a text of n words takes n log n steps however
+    often it repeats itself. The first sort is of numbers that hold the upper bits of a
+    window's hash and its place; what has a neighbour with the same upper bits is sorted again
+    by the whole hash, as is every window of a text whose places need more bits. The steps are
+    columns of their own, so that Spark compiles the sorts and works nothing out twice.
     """
-
-    def windows(w: Column) -> Column:
-        return F.sort_array(
-            F.transform(
-                F.sequence(F.lit(0), F.size(w) - 3),
-                lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")),
-            )
+    mask = (1 << PLACE_BITS) - 1
+    upper = lambda x: F.shiftright(x, PLACE_BITS)
+    window = lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2))
+    no_place = F.array().cast("array<int>")
+    hashes, packed, found = F.col("__hashes"), F.col("__packed"), F.col("__found")
+    pairs = F.zip_with(
+        packed, F.slice(packed, 2, F.size(packed)), lambda a, b: F.when(upper(a) == upper(b), F.array(a, b))
+    )
+    near = F.array_distinct(F.flatten(F.array_compact(pairs)))
+    alike = F.filter(found, lambda x, k: (x["h"] == F.get(found, k + 1)["h"]) | (x["h"] == F.get(found, k - 1)["h"]))
+    pack = F.transform(hashes, lambda h, i: h.bitwiseAND(F.lit(~mask)).bitwiseOR(i.cast("bigint")))
+    some = F.size(F.array_distinct(hashes)) < F.size(hashes)
+    few = F.size(hashes) <= mask
+    gaps = F.transform("__places", lambda x, k: F.least(F.lit(3), F.coalesce(F.get("__places", k + 1) - x, F.lit(3))))
+    return (
+        df.withColumn(
+            "__hashes",
+            F.when(F.size("words") >= 4, F.transform(F.sequence(F.lit(0), F.size("words") - 3), window)).otherwise(
+                F.array().cast("array<bigint>")
+            ),
         )
-
-    def twice(s: Column) -> Column:
-        found = F.filter(
-            s, lambda x, k: F.coalesce(x["h"] == F.get(s, k - 1)["h"], F.lit(False)) | F.coalesce(x["h"] == F.get(s, k + 1)["h"], F.lit(False))
+        .withColumn("__packed", F.when(some & few, F.sort_array(pack)))
+        .withColumn(
+            "__near",
+            F.when(packed.isNotNull(), F.transform(near, lambda x: x.bitwiseAND(F.lit(mask)).cast("int")))
+            .when(some, F.sequence(F.lit(0), F.size(hashes) - 1))
+            .otherwise(no_place),
         )
-        return F.sort_array(F.transform(found, lambda x: x["i"]))
-
-    def covered(p: Column) -> Column:
-        gaps = F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3))))
-        return F.aggregate(gaps, F.lit(0).cast("bigint"), lambda a, b: a + b)
-
-    return F.when(F.size(listed) < 4, F.lit(0).cast("bigint")).otherwise(
-        let(listed, lambda w: let(windows(w), lambda s: let(twice(s), covered)))
+        .withColumn(
+            "__found", F.sort_array(F.transform("__near", lambda i: F.struct(F.get(hashes, i).alias("h"), i.alias("i"))))
+        )
+        .withColumn("__places", F.sort_array(F.transform(alike, lambda x: x["i"])))
+        .withColumn("n_repeat_words", F.aggregate(gaps, F.lit(0).cast("bigint"), lambda a, b: a + b))
+        .drop("__hashes", "__packed", "__near", "__found", "__places")
     )
 
 
@@ -68,21 +87,9 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEAT_PERCENT * n_words)
 
 
-def features(listed: Column, buckets: int = BUCKETS) -> Column:
-    """The buckets of all words and of all pairs of neighbouring words."""
-
-    def of(w: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), 2 * F.size(w) - 2),
-            lambda i: F.pmod(
-                F.when(i < F.size(w), F.xxhash64(F.get(w, i))).otherwise(
-                    F.xxhash64(F.get(w, i - F.size(w)), F.get(w, i - F.size(w) + 1))
-                ),
-                F.lit(buckets),
-            ).cast("int"),
-        )
-
-    return F.when(F.size(listed) > 0, let(listed, of)).otherwise(F.array().cast("array<int>"))
+def bucket(*parts: Column, buckets: int = BUCKETS) -> Column:
+    """The bucket of a word, or of a pair of words."""
+    return F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
 
 
 def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED) -> Column:
@@ -98,7 +105,10 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, max_trusted
     ids = ids.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(max_trusted)
     marked = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left")
     listed = marked.select(F.col("trusted_id").isNotNull().alias("target"), words(F.col("text")).alias("words"))
-    each = listed.select("target", F.explode(features(F.col("words"), buckets)).alias("bucket"))
+    pairs = F.arrays_zip("words", F.slice("words", 2, F.size("words")).alias("next"))
+    each = listed.select("target", F.explode(pairs).alias("pair")).select("target", "pair.words", "pair.next")
+    both = F.array(bucket(F.col("words"), buckets=buckets), bucket(F.col("words"), F.col("next"), buckets=buckets))
+    each = each.select("target", F.explode(both).alias("bucket"))
     counts = each.groupBy("bucket").agg(F.count("*").alias("raw"), F.count_if("target").alias("target"))
     found = {r.bucket: (r.raw, r.target) for r in counts.collect()}  # at most a row per bucket
     raw, target = (sum(v[k] for v in found.values()) for k in (0, 1))
@@ -119,11 +129,17 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, max_trusted
 
 def likelihood_ratio(listed: Column, weights: Column, buckets: int = BUCKETS) -> Column:
     """The mean weight of a text's n-grams in micro-nats, rounded down; 0 for a text without words."""
-    total = lambda f: F.aggregate(f, F.lit(0).cast("bigint"), lambda a, b: a + F.get(weights, b))
-    return let(
-        features(listed, buckets),
-        lambda f: F.when(F.size(f) == 0, F.lit(0)).otherwise(F.floor(total(f) / F.size(f))).cast("bigint"),
-    )
+
+    def total(w: Column) -> Column:
+        weight = lambda *parts: F.get(weights, bucket(*parts, buckets=buckets))
+        return F.aggregate(
+            F.sequence(F.lit(0), F.size(w) - 1),
+            F.lit(0).cast("bigint"),
+            lambda a, i: a + weight(F.get(w, i)) + weight(F.get(w, i), F.get(w, i + 1)),
+        )
+
+    ratio = lambda w: F.floor(total(w) / (2 * F.size(w))).cast("bigint")
+    return F.when(F.size(listed) == 0, F.lit(0).cast("bigint")).otherwise(let(listed, ratio))
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -147,9 +163,6 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: int = THRESHOLD) -> Dat
 def keep(docs: DataFrame, labels: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The documents that pass, with their columns as they were."""
     weights = fit(docs, labels.where(F.col("quality") == 1))
-    listed = words(F.col("text"))
-    kept = let(
-        listed,
-        lambda w: ~base_failed(F.size(w), repeated_words(w)) & (likelihood_ratio(w, weights) >= threshold),
-    )
-    return docs.where(kept)
+    listed = with_repeated_words(docs.withColumn("words", words(F.col("text"))))
+    good = ~base_failed(F.size("words"), F.col("n_repeat_words")) & (likelihood_ratio(F.col("words"), weights) >= threshold)
+    return listed.where(good).select(*docs.columns)
