@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vouch.llm import quality
+from vouch.llm import language, packing, quality, simhash, suffixes
 from vouch.llm.frames import table
+from vouch.llm.queries import vocabulary
+from vouch.sources.staging import new_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,17 +15,50 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of no known language go."""
+    return language.keep_known(docs)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return simhash.keep_first(docs)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings that an earlier document has are cut out of the text."""
+    return suffixes.remove_repeats(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The texts as token pieces, packed into sequences."""
+    return packing.pack_documents(docs, vocabulary())
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("language_id", language_id),
+    ("simhash_dedup", simhash_dedup),
+    ("suffix_dedup", suffix_dedup),
+    ("best_fit_packing", best_fit_packing),
 ]
 
-#: The quality weights hash words and the language vectors are random, which SQL cannot express.
+#: Hashed weights, random vectors and tokens are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``, each stage's result written to the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = written(docs)
     return docs
+
+
+def written(docs: DataFrame) -> DataFrame:
+    """The frame as a Parquet table in the shared folder, read again."""
+    path = new_folder(docs.sparkSession)
+    docs.write.parquet(path)
+    return docs.sparkSession.read.parquet(path)

@@ -4,16 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vouch.llm import quality, sharding
+from vouch.llm import bpe, embeddings, language, packing, quality, sharding, simhash, suffixes, tool_calls, urls
 from vouch.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 SHARDS = 40
+URL_RULES = [
+    urls.UrlRule(False, "net"),
+    urls.UrlRule(True, "example.net", "/en/"),
+    urls.UrlRule(False, "example.com", "/de/"),
+    urls.UrlRule(True, "org", "/fr/"),
+]
+BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BPE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -24,6 +33,38 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
+def vocabulary(path: str = BPE_TOKENIZER) -> str:
+    """The tokenizer's file as text: it travels with the job, executors need no copy of the file."""
+    with open(path, encoding="utf-8") as file:
+        return file.read()
+
+
+@query("op1_embedding_near_dedup")
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@query("op2_url_filters")
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge_pages(table(spark, sf_dir, "pages", "page_id", "url", "html"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op3_simhash_near_dedup")
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+@query("op5_suffix_array_dedup")
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op6_quality_rules")
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -31,6 +72,23 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, labels).drop("text")
 
 
+@query("op7_byte_bpe")
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = bpe.Vocabulary.read(BPE_RANKS, public_tokenizers.PATTERN)
+    return bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), ranked)
+
+
 @query("op8_sharding")
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"), SHARDS)
+
+
+@query("op9_best_fit_packing")
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary())
+
+
+@query("op10_chat_formatting")
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls = tool_calls.format_chats(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    return calls.withColumn("faults", F.array_join("faults", "; "))
