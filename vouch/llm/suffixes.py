@@ -34,9 +34,11 @@ GRAM = 20
 #: Strings of a stretch: two names of LEAST bytes, of its first and last one, cover it.
 STRETCH = 32
 #: Positions that a task sorts and sends at once.
-FLUSH = 1 << 21
+FLUSH = 1 << 19
 #: Parts that the positions are dealt into, per shuffle partition.
 PARTS = 4
+#: Bytes of the name of a whole stretch that are sent; it is compared only where the name is equal.
+CONTEXT = 5
 #: Stands for a null doc_id, which comes after all others.
 LAST = (1 << 63) - 1
 
@@ -129,6 +131,7 @@ def _send(found: list[tuple], parts: int) -> pd.DataFrame:
     order = np.argsort(part, kind="stable")
     edges = np.searchsorted(part[order], np.arange(parts + 1))
     columns = [x[order].astype(k) for x, k in zip((name, context, doc - base, start, length), kinds, strict=True)]
+    columns[1] = columns[1].view(np.uint8).reshape(-1, 8)[:, :CONTEXT]
     rows = [
         (p, base, wide, *[x[a:b].tobytes() for x in columns])
         for p, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
@@ -148,8 +151,7 @@ def _positions(parts: int):
                 if octets is None or len(octets) < LEAST:
                     continue
                 name, context, first, lengths = stretches(np.frombuffer(octets, np.uint8))
-                # five bytes of a context's name are enough beside the name; the sixth is its length
-                found.append((name, context >> np.uint64(24), first + base, lengths, np.full(len(name), doc)))
+                found.append((name, context >> np.uint64(8 * (8 - CONTEXT)), first + base, lengths, np.full(len(name), doc)))
                 size += len(name)
                 if size >= FLUSH:
                     yield _send(found, parts)
@@ -170,7 +172,10 @@ def _ranked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"doc": doc, "start": start, "stop": stop, "name": None})
                 continue
             kinds = ("<u8", "<u8", "<u8" if row.wide else "<u4", "<u4", "u1")
-            values = [np.frombuffer(x, k) for x, k in zip((row.names, row.contexts, row.docs, row.starts, row.lengths), kinds, strict=True)]
+            contexts = np.zeros((len(row.contexts) // CONTEXT, 8), np.uint8)
+            contexts[:, :CONTEXT] = np.frombuffer(row.contexts, np.uint8).reshape(-1, CONTEXT)
+            sent = (row.names, contexts.tobytes(), row.docs, row.starts, row.lengths)
+            values = [np.frombuffer(x, k) for x, k in zip(sent, kinds, strict=True)]
             values[2] = values[2].astype(np.int64) + row.base
             for store, x in zip(fields, values, strict=True):
                 store.append(x)
