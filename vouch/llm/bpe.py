@@ -16,8 +16,6 @@ from vouch.sources.staging import settle
 
 #: The most frequent words that are encoded beforehand, which bounds the literal that holds them.
 FREQUENT = 1 << 17
-#: Maps of a literal table: a value is looked up in one of them, which has a few entries.
-TABLES = 1 << 16
 SEED = 42
 
 
@@ -37,16 +35,45 @@ class Vocabulary:
 
 
 def table(entries: dict[str, object], kind: str) -> Callable[[Column], Column]:
-    """A literal map as an array of small maps, by hash; returns its lookup, null for other keys.
+    """A literal hash table without collisions; returns its lookup, null for other keys.
 
-    Spark searches a map entry by entry, so one large map would cost its whole size a lookup.
+    Spark searches a literal map entry by entry, so a large one would cost its whole size a
+    lookup. Here a key's hash names a group, the group's factor turns the hash into a slot, and
+    the slot holds the key and its value: flat arrays, one probe. The factors are found group
+    by group, largest first, such that no two keys share a slot.
     """
-    tables: list[dict[str, object]] = [{} for _ in range(TABLES)]
-    for key, value in entries.items():
-        tables[xxhash.xxh64_intdigest(key.encode(), SEED) % TABLES][key] = value
-    literal = F.from_json(F.lit(json.dumps(tables, ensure_ascii=False)), f"array<map<string,{kind}>>")
-    # the lowest bits of the hash, as the remainder of the unsigned number above
-    return lambda key: F.get(literal, F.xxhash64(key).bitwiseAND(F.lit(TABLES - 1)).cast("int"))[key]
+    bits = max(4, (2 * len(entries)).bit_length())
+    groups, slots = 1 << (bits - 3), 1 << bits
+    hashes = {key: xxhash.xxh64_intdigest(key.encode(), SEED) for key in entries}
+    members: list[list[str]] = [[] for _ in range(groups)]
+    for key, h in hashes.items():
+        members[h & (groups - 1)].append(key)
+    factors, keys, values = [1] * groups, [None] * slots, [None] * slots
+    place = lambda h, factor: ((h >> 33) * factor >> 20) & (slots - 1)
+    for group in sorted(range(groups), key=lambda g: -len(members[g])):
+        own = [hashes[key] for key in members[group]]
+        for factor in range(1, 1 << 31, 2):
+            taken = {place(h, factor) for h in own}
+            if len(taken) == len(own) and all(keys[t] is None for t in taken):
+                break
+        else:
+            raise ValueError("keys with equal hashes")
+        factors[group] = factor
+        for key in members[group]:
+            slot = place(hashes[key], factor)
+            keys[slot], values[slot] = key, entries[key]
+    literal = lambda x, of: F.from_json(F.lit(json.dumps(x, ensure_ascii=False, separators=(",", ":"))), f"array<{of}>")
+    factor, held, value = literal(factors, "bigint"), literal(keys, "string"), literal(values, kind)
+
+    def lookup(key: Column) -> Column:
+        def probe(h: Column) -> Column:
+            spread = F.shiftrightunsigned(h, 33) * F.get(factor, h.bitwiseAND(F.lit(groups - 1)).cast("int"))
+            return F.shiftright(spread, 20).bitwiseAND(F.lit(slots - 1)).cast("int")
+
+        slot = let(F.xxhash64(key), probe)
+        return let(slot, lambda at: F.when(F.get(held, at) == key, F.get(value, at)))
+
+    return lookup
 
 
 def cut(text: Column, vocabulary: Vocabulary) -> Column:
@@ -57,35 +84,44 @@ def cut(text: Column, vocabulary: Vocabulary) -> Column:
 def fold(octets: Column, rank: Callable[[Column], Column]) -> Column:
     """The ids of a word given as hex digits: its bytes, merged pair by pair in order of rank.
 
-    Each step finds the adjacent pair of lowest rank, the leftmost of equal ones, and joins it.
-    A word of n bytes takes n - 1 steps at most; a word that is a piece itself takes none.
+    Each step joins the adjacent pair of lowest rank, the leftmost of equal ones, and looks up
+    the two pairs that this makes. A word of n bytes takes n - 1 steps at most; a word that is
+    a piece itself takes none.
     """
 
     def merge(state: Column, _: Column) -> Column:
-        parts = state["parts"]
-        pairs = F.transform(
-            F.sequence(F.lit(0), F.size(parts) - 2), lambda i: rank(F.concat(F.get(parts, i), F.get(parts, i + 1)))
-        )
-
-        def joined(ranks: Column) -> Column:
-            at = F.array_position(ranks, F.array_min(ranks)).cast("int")
+        def joined(low: Column) -> Column:
+            parts, found = state["parts"], state["ranks"]
+            at = F.array_position(found, low).cast("int")  # the pair of parts at and at + 1, from 1
             pair = F.concat(F.get(parts, at - 1), F.get(parts, at))
-            rest = F.concat(F.slice(parts, 1, at - 1), F.array(pair), F.slice(parts, at + 2, F.size(parts)))
-            found = F.array_min(ranks).isNotNull()
-            return F.struct(
-                F.when(found, rest).otherwise(parts).alias("parts"), (~found | (F.size(parts) <= 2)).alias("done")
-            )
 
-        return F.when(state["done"], state).otherwise(let(pairs, joined))
+            def around(p: Column) -> Column:
+                before = F.when(at > 1, F.array(rank(F.concat(F.get(parts, at - 2), p)))).otherwise(none)
+                after = F.when(at < F.size(found), F.array(rank(F.concat(p, F.get(parts, at + 1))))).otherwise(none)
+                left = F.when(at > 2, F.slice(found, 1, at - 2)).otherwise(none)
+                return F.struct(
+                    F.concat(F.slice(parts, 1, at - 1), F.array(p), F.slice(parts, at + 2, F.size(parts))).alias("parts"),
+                    F.concat(left, before, after, F.slice(found, at + 2, F.size(found))).alias("ranks"),
+                )
+
+            return F.when(low.isNull(), state).otherwise(let(pair, around))
+
+        return let(F.array_min(state["ranks"]), joined)
 
+    none = F.array().cast("array<int>")
     octet = F.regexp_extract_all(octets, F.lit(".."), F.lit(0))
+
+    def start(parts: Column) -> Column:
+        pairs = F.zip_with(F.slice(parts, 1, F.size(parts) - 1), F.slice(parts, 2, F.size(parts)), lambda a, b: rank(F.concat(a, b)))
+        return F.struct(parts.alias("parts"), pairs.alias("ranks"))
+
     merged = F.aggregate(
         F.sequence(F.lit(1), F.greatest(F.length(octets) / 2 - 1, F.lit(1)).cast("int")),
-        F.struct(octet.alias("parts"), (F.length(octets) <= 2).alias("done")),
+        let(octet, start),
         merge,
         lambda s: F.transform(s["parts"], rank),
     )
-    return F.coalesce(F.transform(F.when(rank(octets).isNotNull(), F.array(octets)), rank), merged)
+    return let(rank(octets), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(merged))
 
 
 def ranks(vocabulary: Vocabulary) -> Callable[[Column], Column]:
