@@ -328,13 +328,16 @@ def audit(vectors: DataFrame, result: DataFrame, graph: Graph = DEFAULT, every:
     asked = good.where(F.col("vec_id") % every == 0).select("vec_id", "vector").orderBy("vec_id")
     blocks, rows = [], asked.toLocalIterator()
     while block := [r for _, r in zip(range(queries), rows)]:
-        ids, wanted = [r.vec_id for r in block], normed(r.vector for r in block)
+        ids, wanted = [r.vec_id for r in block], [r.vector for r in block]
 
         def compare(batches: Iterator[pd.DataFrame], ids=ids, wanted=wanted) -> Iterator[pd.DataFrame]:
-            total = np.zeros(len(ids), np.int64)
+            lengths, total = np.array([len(v) for v in wanted]), np.zeros(len(ids), np.int64)
             for batch in batches:
-                for k in range(0, len(batch), 4_096):
-                    total += (normed(batch["vector"].iloc[k : k + 4_096]) @ wanted.T >= graph.threshold).sum(axis=0)
+                for length, rows in batch["vector"].groupby(batch["vector"].map(len)):
+                    at = np.flatnonzero(lengths == length)
+                    for k in range(0, len(rows) * bool(len(at)), 4_096):
+                        cosines = normed(rows.iloc[k : k + 4_096]) @ normed(wanted[i] for i in at.tolist()).T
+                        total[at] += (cosines >= graph.threshold).sum(axis=0)
             yield pd.DataFrame({"vec_id": ids, "links": total})
 
         blocks.append(good.select("vector").mapInPandas(compare, "vec_id bigint, links bigint"))

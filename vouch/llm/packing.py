@@ -7,7 +7,6 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from heapq import heapify, heappop
 from itertools import combinations
 
 import numpy as np
@@ -21,6 +20,8 @@ CAPACITY = 1024
 END = 2
 #: Pieces that are packed together: blocks grow in number with the input, not in size.
 BLOCK = 16_384
+#: Passes of the search over the bins of a block.
+PASSES = 4
 #: Texts that are encoded together, and encoded stretches that a task remembers.
 TEXTS, REMEMBERED = 512, 300_000
 
@@ -117,8 +118,9 @@ def empty_bins(bins: list[list[int]], lengths: list[int], capacity: int = CAPACI
 
     The least filled bin gives: it moves an item to another bin, swaps one for a shorter one,
     one for two that are shorter together, or two for one that is shorter than both. It goes
-    on until it is empty or no exchange is left, then the next one gives. The search ends when
-    no fewer bins could hold the items.
+    on until it is empty or no exchange is left, then the next one gives; a pass over all bins
+    is repeated while it changes anything, ``PASSES`` times at most. The search ends when no
+    fewer bins could hold the items.
     """
     fill = [sum(lengths[i] for i in b) for b in bins]
     left, least = len(bins), -(-sum(lengths) // capacity)
@@ -128,7 +130,6 @@ def empty_bins(bins: list[list[int]], lengths: list[int], capacity: int = CAPACI
             for i in items:
                 holders[lengths[i]].add(at)
     open_bins = {at for at in range(len(bins)) if fill[at] < capacity}
-    given: set[int] = set()
 
     def put(at: int, out: tuple[int, ...], into: tuple[int, ...]) -> None:
         for i in out:
@@ -146,7 +147,7 @@ def empty_bins(bins: list[list[int]], lengths: list[int], capacity: int = CAPACI
                 holders[lengths[i]].discard(at)
 
     def exchange(giver: int) -> bool:
-        others = [b for b in open_bins if b != giver and b not in given and fill[b] >= fill[giver]]
+        others = [b for b in open_bins if b != giver and fill[b] >= fill[giver]]
         if not others:
             return False
         room = capacity - min(fill[b] for b in others)
@@ -163,7 +164,7 @@ def empty_bins(bins: list[list[int]], lengths: list[int], capacity: int = CAPACI
             total = sum(lengths[i] for i in out)
             for y in range(max(1, total - room), min(total, capacity)):
                 for target in sorted(holders.get(y, ())):
-                    if target != giver and target not in given and fill[target] >= fill[giver] and fill[target] + total - y <= capacity:
+                    if target != giver and fill[target] >= fill[giver] and fill[target] + total - y <= capacity:
                         back = next(i for i in bins[target] if lengths[i] == y)
                         put(target, (back,), out)
                         put(giver, out, (back,))
@@ -178,18 +179,18 @@ def empty_bins(bins: list[list[int]], lengths: list[int], capacity: int = CAPACI
                         return True
         return False
 
-    queue = [(fill[b], b) for b in open_bins]
-    heapify(queue)
-    while queue and left > least:
-        was, giver = heappop(queue)
-        if giver not in open_bins or was != fill[giver]:
-            continue
-        while bins[giver] and exchange(giver):
-            pass
-        if not bins[giver]:
-            open_bins.discard(giver)
-            left -= 1
-        given.add(giver)
+    for _ in range(PASSES):
+        before = list(fill)
+        for giver in sorted(open_bins, key=lambda b: (fill[b], b)):
+            if left <= least or giver not in open_bins:
+                continue
+            while bins[giver] and exchange(giver):
+                pass
+            if not bins[giver]:
+                open_bins.discard(giver)
+                left -= 1
+        if left <= least or fill == before:
+            break
     return [b for b in bins if b]
 
 
