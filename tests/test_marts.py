@@ -103,11 +103,12 @@ def test_heatmap_and_radar_take_missing_as_100(results):
     heat = {r.table_name: r.asDict() for r in marts.heatmap(results).collect()}
     assert heat["medications"] == {
         "table_name": "medications", "Completeness": 33.3, "Validity": 50.0, "Uniqueness": 100.0, "Referential": 100.0,
+        "Timeliness": 100.0, "Consistency": 100.0,
     }
     assert heat["patients"]["Uniqueness"] == 100.0
     assert heat["encounters"]["Referential"] == 0.0
     radar = {(r.table_name, r.category): r.pass_rate for r in marts.radar(results).collect()}
-    assert radar == {(t, c): v for t, row in heat.items() for c, v in row.items() if c != "table_name"}
+    assert radar == {(t, c): v for t, row in heat.items() for c, v in row.items() if c in marts.SHOWN_CATEGORIES}
 
 
 def test_reconciliation_views(spark, ctx):

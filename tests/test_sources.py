@@ -12,7 +12,7 @@ from vouch.functions.nulls import NULL_TOKENS
 from vouch.operators.audit import audit_log
 from vouch.operators.runs import run_record
 from vouch.operators.score import score
-from vouch.operators.views import latest_scores
+from vouch.operators.views import latest_scores, open_critical_issues
 from vouch.plans.run import run_all, write_governance
 from vouch.plans.rules import HEALTHCARE_RULES
 from vouch.sources.load import load_tables
@@ -192,3 +192,41 @@ def test_command_line(spark, tmp_path, capsys):
     recon = spark.read.option("header", True).csv(f"{tmp_path}/out/results/reconciliation.csv")
     assert ("patients", "100", "150", "50.0") in as_set(recon, "table_name", "source_count", "loaded_count", "delta_pct")
     assert read_governance(spark, f"{tmp_path}/out/governance", "audit_log").count() > 20
+
+
+def test_views_follow_the_newest_run(spark, ctx, tmp_path):
+    path, later = str(tmp_path), replace(ctx, name="a/b")
+    for run, passing in ((replace(ctx, name="007"), set()), (later, {r.rule_id for r in HEALTHCARE_RULES})):
+        results = results_frame(spark, run, passing=passing)
+        frames = {"dq_results": results, "audit_log": audit_log(results, HEALTHCARE_RULES)}
+        load_governance(frames, path, run.run_id)
+    audit, results = (read_governance(spark, path, n) for n in ("audit_log", "dq_results"))
+    assert as_set(results, "run_id") == {("007",), ("a/b",)}
+    assert open_critical_issues(audit, results).count() == 0
+    load_governance({"dq_results": results_frame(spark, later)}, path, "a/b", keep_history=False)
+    assert as_set(read_governance(spark, path, "dq_results"), "run_id") == {("a/b",)}
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    folder = tmp_path / "t.csv"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a,b\n1,2\n")
+    (folder / "2.csv").write_text("b,a\n2,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        load_tables(spark, str(tmp_path), {"t": SCHEMA})["t"].collect()
+
+
+def test_failed_runs_leave_no_copies(spark, ctx, tmp_path, monkeypatch):
+    from vouch.plans import run
+
+    folder = str(tmp_path / "staged")
+    monkeypatch.setattr(run, "new_folder", lambda spark: folder)
+    monkeypatch.setattr(run, "evaluate", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_all({"t": spark.range(3)}, ctx, spark.range(0), stage_inputs=True)
+    assert not (tmp_path / "staged").exists()
+
+
+def test_notes_name_unchecked_rules(spark, ctx):
+    record = run_record(results_frame(spark, ctx), notes="PAT-001 not checked: no column x")
+    assert record.first().notes.startswith("PAT-001")

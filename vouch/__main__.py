@@ -10,6 +10,7 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
+from vouch.operators.evaluate import RuleError
 from vouch.operators.score import total_issues
 from vouch.plans.context import RunContext
 from vouch.plans.run import run_all, write_governance
@@ -25,25 +26,30 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="the clock of the date rules")
     parser.add_argument("--source-counts", help="CSV with table_name, source_count")
     parser.add_argument("--approx", action="store_true", help="estimate distinct values")
+    parser.add_argument("--multi-line", action="store_true", help="line breaks inside quoted fields")
     parser.add_argument("--replace", action="store_true", help="keep the last run only")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("vouch").getOrCreate()
     ctx = RunContext(datetime.now(), options.as_of)
-    tables = load_tables(spark, options.input, file_format=options.format)
+    tables = load_tables(spark, options.input, file_format=options.format, multi_line=options.multi_line)
     if options.source_counts:
         counts = read_csv(spark, options.source_counts)
     else:
         counts = spark.createDataFrame([], "table_name string, source_count bigint")
+    errors: list[RuleError] = []
     frames = run_all(
         tables,
         ctx,
         counts,
         distinct="approx" if options.approx else "exact",
         stage_inputs=options.format == "csv",
+        errors=errors,
     )
     write_results(frames, f"{options.output}/results")
-    write_governance(frames, ctx, f"{options.output}/governance", keep_history=not options.replace)
+    write_governance(frames, ctx, f"{options.output}/governance", keep_history=not options.replace, errors=errors)
+    for error in errors:
+        print(f"{error.rule_id} not checked, counted as passed: {error.message}")
     frames["dq_scores"].select("table_name", "dq_score", "grade").show()
     total_issues(frames["dq_results"]).show()
 

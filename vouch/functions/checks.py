@@ -58,12 +58,16 @@ def moment(df: DataFrame, name: str, date_format: str = ISO_DATE) -> Column:
     return F.try_to_timestamp(text, F.lit(date_format)).cast("timestamp_ntz")
 
 
+def plain_number(text: Column) -> Column:
+    """Text without Java's ``12d`` and ``12f``, which a cast would take for numbers."""
+    return F.when(~text.rlike(r"[0-9.]\s*[dDfF]\s*\z"), text)
+
+
 def number(df: DataFrame, name: str) -> Column:
     """A column as double; NULL for text that is not a number."""
     value = column(name)
     if isinstance(column_type(df, name), T.StringType):
-        # the cast would also take Java's 12d and 12f
-        value = F.when(~value.rlike(r"[0-9.]\s*[dDfF]\s*\z"), value)
+        value = plain_number(value)
     return value.try_cast("double")
 
 
@@ -82,6 +86,8 @@ def in_set(name: str, *allowed: str | int | float) -> RowCheck:
             isinstance(a, str) for a in allowed
         ):
             return ~column(name).isin(*allowed)
+        if isinstance(column_type(df, name), T.BooleanType):
+            return ~column(name).isin(*[str(a).lower() == "true" for a in allowed])
         return ~column(name).cast("string").isin(*[str(a) for a in allowed])
 
     return check

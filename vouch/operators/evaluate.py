@@ -5,6 +5,8 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,9 @@ from vouch.functions.numeric import count_or_zero, pct
 from vouch.plans.context import RunContext
 from vouch.plans.rules import Rule, rule_frame
 
+# What a faulty check raises; lost connections and internal errors end the run.
+FAULTS = (AnalysisException, TypeError, ValueError, LookupError, AttributeError, ArithmeticError)
+
 log = logging.getLogger(__name__)
 
 
@@ -111,11 +116,11 @@ def _table_parts(
     for keys, group in by_key.items():
         try:
             key_parts.append(_key_part(tables, df, keys, group))
-        except Exception:
+        except FAULTS:
             for tag, rule in group.items():
                 try:
                     key_parts.append(_key_part(tables, df, keys, {tag: rule}))
-                except Exception as error:  # such as a key of another type than its parent
+                except FAULTS as error:  # such as a key of another type than its parent
                     _report(rule, str(error), errors)
                     unchecked.append(tag)
     violations = _violations(df, row_rules, ctx, errors)
@@ -132,16 +137,18 @@ def _violations(
     for tag, rule in rules.items():
         try:
             planned[tag] = rule.check(df, as_of)
+        except Py4JError:  # no fault of the check
+            raise
         except Exception as error:  # a faulty check must not stop the run
             _report(rule, str(error), errors)
             planned[tag] = F.lit(False)
     try:
         _check_boolean(df, list(planned.values()))
-    except Exception:
+    except FAULTS:
         for tag in planned:
             try:
                 _check_boolean(df, [planned[tag]])
-            except Exception as error:
+            except FAULTS as error:
                 _report(rules[tag], str(error), errors)
                 planned[tag] = F.lit(False)
     return planned

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from vouch.functions.numeric import count_or_zero, pct
 from vouch.operators.score import issues
-from vouch.plans.rules import SEVERITY_RANKS
+from vouch.plans.rules import CATEGORIES, SEVERITY_RANKS
 
-# Categories a heatmap or radar shows, and the upper ends of the gauge bands.
+# Categories a radar shows, and the upper ends of the gauge bands.
 SHOWN_CATEGORIES = ("Completeness", "Validity", "Uniqueness", "Referential")
 GAUGE_BANDS = (60, 80, 100)
 
@@ -150,7 +150,7 @@ def _pass_rate() -> Column:
     return pct(F.count_if(_is(PASSED)), F.count(F.lit(1)), 1)
 
 
-def heatmap(results: DataFrame, categories: tuple[str, ...] = SHOWN_CATEGORIES) -> DataFrame:
+def heatmap(results: DataFrame, categories: tuple[str, ...] = tuple(CATEGORIES)) -> DataFrame:
     """Share of passed rules, a row per table and a column per category; 100 without rules."""
     rates = results.groupBy("table_name", "category").agg(_pass_rate().alias("pass_rate"))
     return (

@@ -31,21 +31,26 @@ def reconcile(
     """``reconciliation``: expected against loaded counts per table.
 
     ``source_counts`` has ``table_name, source_count``; a table it lacks is expected to
-    hold what was loaded. ``loaded`` may hand in counts already known.
+    hold what was loaded. A listed table whose count is null, no whole number or given twice
+    with different values does not match. ``loaded`` may hand in counts already known.
     """
     counts = count_records(tables) if loaded is None else loaded
-    expected = source_counts.select("table_name", F.col("source_count").cast("bigint"))
+    whole = F.col("source_count").try_cast("decimal(38,6)")
+    whole = F.when(whole == F.floor(whole), whole).try_cast("bigint")
+    agreed = F.when((F.min("n") == F.max("n")) & (F.count("n") == F.count("*")), F.min("n"))
+    expected = source_counts.select("table_name", whole.alias("n")).groupBy("table_name")
+    expected = expected.agg(agreed.alias("source_count"), F.lit(True).alias("listed"))
     delta = F.col("loaded_count") - F.col("source_count")
     return (
         counts.join(expected, "table_name", "left")
-        .withColumn("source_count", F.coalesce("source_count", "loaded_count"))
+        .withColumn("source_count", F.when(F.col("listed"), F.col("source_count")).otherwise(F.col("loaded_count")))
         .select(
             "table_name",
             "source_count",
             "loaded_count",
             delta.alias("delta"),
             pct(delta, F.col("source_count"), 2).alias("delta_pct"),
-            F.when(delta == 0, "MATCH").otherwise("MISMATCH").alias("status"),
+            F.when(F.coalesce(delta == 0, F.lit(False)), "MATCH").otherwise("MISMATCH").alias("status"),
             ctx.run_time_column().alias("run_time"),
         )
     )

@@ -20,7 +20,7 @@ def run_summary(results: DataFrame) -> DataFrame:
     )
 
 
-def run_record(results: DataFrame, triggered_by: str = "automated", status: str = "Completed") -> DataFrame:
+def run_record(results: DataFrame, triggered_by: str = "automated", status: str = "Completed", notes: str | None = None) -> DataFrame:
     """``dq_runs`` rows of the runs in ``results``."""
     if status not in RUN_STATES:
         raise ValueError(f"unknown run status {status!r}")
@@ -32,7 +32,7 @@ def run_record(results: DataFrame, triggered_by: str = "automated", status: str
         "total_tables",
         "total_rules",
         "total_issues",
-        F.lit(None).cast("string").alias("notes"),
+        F.lit(notes).cast("string").alias("notes"),
     )
 
 

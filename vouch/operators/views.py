@@ -27,12 +27,20 @@ def latest_scores(scores: DataFrame) -> DataFrame:
     return scores.groupBy("table_name").agg(newest.alias("newest")).select("newest.*")
 
 
-def open_critical_issues(audit: DataFrame) -> DataFrame:
-    """Unresolved Critical and High entries, worst severity and most records first."""
+def open_critical_issues(audit: DataFrame, results: DataFrame | None = None) -> DataFrame:
+    """Unresolved Critical and High entries, worst severity and most records first.
+
+    With the ``results`` of the same runs only each table's newest run counts: what it no longer
+    finds is mended. A run without a violation has results but no entries.
+    """
+    if results is not None:
+        newest = F.max_by("run_id", F.struct("run_time", "run_id")).alias("run_id")
+        audit = audit.join(results.groupBy("table_name").agg(newest), ["table_name", "run_id"], "left_semi")
     return (
         audit.where(~F.col("resolved") & F.col("severity").isin("Critical", "High"))
         .orderBy(severity_rank(), F.col("records_affected").desc(), "log_id")
         .select(
+            "run_id",
             "log_id",
             "table_name",
             "rule_id",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,12 +40,14 @@ def run_all(
     """
     spark = next(iter(tables.values())).sparkSession
     folder = new_folder(spark) if stage_inputs else None
-    if folder:
-        tables = stage(tables, folder)
-    results = settle(evaluate(tables, rules, ctx, errors))
-    profiled = settle(profile(tables, samples=distinct == "exact", distinct=distinct))
-    if folder:
-        remove(spark, folder)
+    try:
+        if folder:
+            tables = stage(tables, folder)
+        results = settle(evaluate(tables, rules, ctx, errors))
+        profiled = settle(profile(tables, samples=distinct == "exact", distinct=distinct))
+    finally:
+        if folder:
+            remove(spark, folder)
     if "sample_values" not in profiled.columns:
         profiled = profiled.withColumn("sample_values", F.lit(None).cast("string"))
     # every column knows its table's count
@@ -64,14 +68,17 @@ def write_governance(
     path: str,
     rules: list[Rule] = HEALTHCARE_RULES,
     keep_history: bool = True,
+    errors: Sequence[RuleError] = (),
 ) -> None:
     """Load the frames of a run into the governance tables under ``path``.
 
-    The run record comes last: a run listed in ``dq_runs`` has all its tables loaded.
+    The run record comes last: a run listed in ``dq_runs`` has all its tables loaded. Its notes
+    name the rules that could not be checked, which count as passed.
     """
     load_governance(frames, path, ctx.run_id, keep_history)
     results = frames["dq_results"]
     registry_frame(results.sparkSession, rules, ctx).write.mode("overwrite").parquet(
         f"{path}/dq_rule_registry"
     )
-    record_run(run_record(results), path)
+    notes = "; ".join(f"{e.rule_id} not checked: {e.message}" for e in errors) or None
+    record_run(run_record(results, notes=notes), path)

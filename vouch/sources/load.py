@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vouch.functions.checks import plain_number
 from vouch.functions.nulls import column, nan_to_null, tokens_to_null
 from vouch.sources.schemas import HEALTHCARE_SCHEMAS
 
@@ -19,7 +20,7 @@ def load_tables(
 ) -> dict[str, DataFrame]:
     """Each table of ``schemas`` from ``path/<table>.<file_format>``, by name.
 
-    CSV columns are taken by header name, in file order. Null tokens become NULL and text
+    CSV columns are taken by header name; the files of a table must have the same header. Null tokens become NULL and text
     that does not fit the declared type does too; columns without a declared type stay text.
     ``multi_line`` allows line breaks inside quoted fields, but then a file cannot be split
     between tasks. A large CSV that is read more than once is best staged first
@@ -39,7 +40,9 @@ def load_tables(
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """A CSV with header, every column as text; a quote inside quotes is doubled."""
-    return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
+    # files whose headers differ in names or order end the job instead of mixing their columns
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"')
+    return reader.option("multiLine", multi_line).csv(path)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -60,7 +63,9 @@ def _typed(text: Column, data_type: T.DataType) -> Column:
         return text
     if isinstance(data_type, T.IntegralType):
         # whole numbers are often written as 3.0 next to nulls
-        number = text.try_cast("double")
+        number = plain_number(text).try_cast("double")
         whole = F.when(number == F.floor(number), number.try_cast(data_type))
         return F.coalesce(text.try_cast(data_type), whole)
+    if isinstance(data_type, T.NumericType):
+        return plain_number(text).try_cast(data_type)
     return text.try_cast(data_type)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from vouch.operators.runs import new_runs
 from vouch.operators.views import latest_scores, open_critical_issues
 from vouch.sources.schemas import GOVERNANCE_COLUMNS, GOVERNANCE_DEFAULTS
 
+RUN_FOLDER = "run"
+
 
 def write_results(frames: dict[str, DataFrame], path: str, file_format: str = "csv") -> None:
     """Each frame to ``path/<name>.<file_format>``, replacing what is there."""
@@ -28,34 +32,44 @@ def governance_frame(name: str, frame: DataFrame) -> DataFrame:
 def load_governance(frames: dict[str, DataFrame], path: str, run_id: str, keep_history: bool = True) -> None:
     """Load the result frames into the governance tables under ``path``.
 
-    With ``keep_history`` each run has its folder ``run_id=...``, which reads back as a
-    column; repeating a run replaces its own rows only. Without it a table holds the last
-    run. An empty frame replaces older rows too, so that a mended violation disappears.
+    Every run has a folder of its own, named by a hash of its id, and its rows carry the id as
+    text. Repeating a run replaces its own rows only; an empty frame does too, so that a mended
+    violation disappears. Without ``keep_history`` the folders of other runs go once all
+    tables of this one are written, so a failure in between loses nothing.
     """
+    folder = f"{RUN_FOLDER}={hashlib.md5(run_id.encode()).hexdigest()}"
     for name, frame in frames.items():
         rows = governance_frame(name, frame)
         for column, default in GOVERNANCE_DEFAULTS.get(name, {}).items():
             rows = rows.withColumn(column, F.expr(default))
-        target = f"{path}/{name}"
-        if keep_history:
-            rows, target = rows.drop("run_id"), f"{target}/run_id={run_id}"
-        rows.write.mode("overwrite").parquet(target)
+        rows.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").parquet(f"{path}/{name}/{folder}")
+    if not keep_history:
+        for name, frame in frames.items():
+            _drop_others(frame.sparkSession, f"{path}/{name}", folder)
+
+
+def _drop_others(spark: SparkSession, path: str, folder: str) -> None:
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(root):
+        if status.getPath().getName().startswith(f"{RUN_FOLDER}=") and status.getPath().getName() != folder:
+            files.delete(status.getPath(), True)
 
 
 def read_governance(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{name}")
+    """A governance table, all runs that it holds."""
+    return spark.read.parquet(f"{path}/{name}").drop(RUN_FOLDER)
 
 
 def register_views(spark: SparkSession, path: str) -> list[str]:
     """Temporary views over the governance tables under ``path``, for queries in SQL.
 
-    ``vw_latest_dq_scores`` needs the history of runs; ``vw_open_critical_issues`` lists
-    the entries of all runs it finds.
+    ``vw_open_critical_issues`` lists the entries of each table's newest run.
     """
     for name in ("dq_runs", "dq_rule_registry", *GOVERNANCE_COLUMNS):
         read_governance(spark, path, name).createOrReplaceTempView(name)
     latest_scores(spark.table("dq_scores")).createOrReplaceTempView("vw_latest_dq_scores")
-    open_critical_issues(spark.table("audit_log")).createOrReplaceTempView("vw_open_critical_issues")
+    open_critical_issues(spark.table("audit_log"), spark.table("dq_results")).createOrReplaceTempView("vw_open_critical_issues")
     return ["dq_runs", "dq_rule_registry", *GOVERNANCE_COLUMNS, "vw_latest_dq_scores", "vw_open_critical_issues"]
 
 

@@ -6,11 +6,13 @@ The same text runs on Spark and in the SQL check: table names stand in braces.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vouch.functions.checks import at_least, in_set, not_null, references, unique
+from vouch.functions.checks import at_least, custom, in_set, not_null, references, unique
 from vouch.plans.context import RunContext
 from vouch.plans.reports import Report
 from vouch.plans.rules import Rule
@@ -96,6 +98,17 @@ RAW_RULES = [
          references("c_nationkey", "nation", "n_nationkey")),
 ]
 
+ORDER_RULES = [
+    RAW_RULES[8],
+    Rule("ORD-004", "orders", "Timeliness", "Medium", "o_orderdate must be before 1998",
+         custom(lambda df: F.col("o_orderdate").cast("date") >= F.lit("1998-01-01").cast("date"))),
+    Rule("ORD-005", "orders", "Consistency", "Low", "o_totalprice must be at least 50000", at_least("o_totalprice", 50000)),
+]
+
+# What two stored runs check: the second has a rule that orders do not break.
+STORED_RULES = [r for r in RAW_RULES if r.rule_id in ("ORD-003", "CUS-002")]
+MENDED_RULES = [replace(r, check=not_null("o_orderkey")) if r.rule_id == "ORD-003" else r for r in STORED_RULES]
+
 RAW_REPORTS = [
     Report("Supplier Directory", ("supplier",), "Purchasing", "Monthly", "High"),
     Report("Parts Catalogue", ("part", "supplier"), "Purchasing", "Weekly", "Medium"),

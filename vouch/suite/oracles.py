@@ -311,6 +311,21 @@ def _radar(category: str) -> str:
 
 
 CATEGORIES = ("Completeness", "Validity", "Uniqueness", "Referential")
+HEATMAP_CATEGORIES = (*CATEGORIES, "Consistency", "Timeliness")
+
+
+def _share(broken: str) -> str:
+    return f"(CASE WHEN count(*) FILTER (WHERE {broken}) > 0 THEN 0.0 ELSE 100.0 END)::DOUBLE"
+
+
+def _stored(run_id: str, mended: bool) -> str:
+    """Results of the stored rules: of orders in another state than O or F, and of negative balances."""
+    orders = "o_orderkey IS NULL" if mended else "o_orderstatus NOT IN ('O', 'F')"
+    return " UNION ALL ".join(
+        f"""SELECT '{run_id}' AS run_id, '{rule}' AS rule_id, CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END AS status, n AS failed_records
+            FROM (SELECT count(*)::BIGINT AS n FROM {table} WHERE {broken})"""
+        for rule, table, broken in (("ORD-003", "orders", orders), ("CUS-002", "customer", "c_acctbal < 0"))
+    )
 
 
 def oracle_sql() -> dict[str, str]:
@@ -457,8 +472,16 @@ def oracle_sql() -> dict[str, str]:
             f"FROM chosen WHERE status = 'FAIL' ORDER BY {RANK}, failed_records DESC"
         ),
         "dq_heatmap": _with_results(
-            f"SELECT table_name, {', '.join(f'{_radar(c)} AS {_quoted(c)}' for c in CATEGORIES)} FROM chosen GROUP BY table_name"
+            f"SELECT table_name, {', '.join(f'{_radar(c)} AS {_quoted(c)}' for c in HEATMAP_CATEGORIES)} FROM chosen GROUP BY table_name"
         ),
+        "dq_heatmap_raw": f"""SELECT 'orders' AS table_name, {_share("o_orderkey IS NULL")} AS "Completeness",
+            100.0::DOUBLE AS "Validity", 100.0::DOUBLE AS "Uniqueness", 100.0::DOUBLE AS "Referential",
+            {_share("o_totalprice < 50000")} AS "Consistency",
+            {_share("o_orderdate::DATE >= DATE '1998-01-01'")} AS "Timeliness" FROM orders""",
+        "gov_history_open_issues": """SELECT 'a/b' AS run_id, 'CUS-002' AS rule_id, count(*)::BIGINT AS records_affected
+            FROM customer WHERE c_acctbal < 0 HAVING count(*) > 0""",
+        "gov_run_id_text": f"{_stored('007', False)} UNION ALL {_stored('a/b', True)}",
+        "gov_replace_runs": _stored("a/b", True),
         "issues_by_table_severity": _with_results(
             "SELECT table_name, severity, cast(sum(failed_records) AS BIGINT) AS failed_records "
             "FROM chosen WHERE status = 'FAIL' GROUP BY table_name, severity"

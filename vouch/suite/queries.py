@@ -24,7 +24,7 @@ from vouch.plans.reports import HEALTHCARE_REPORTS, report_frame
 from vouch.plans.rules import HEALTHCARE_RULES, registry_frame, rules_for
 from vouch.sources.load import load_tables
 from vouch.sources.schemas import HEALTHCARE_SCHEMAS
-from vouch.sources.sinks import governance_frame
+from vouch.sources.sinks import governance_frame, load_governance, read_governance
 from vouch.sources.staging import new_folder, remove, settle, stage
 from vouch.suite import fixtures
 from vouch.suite.fixtures import AS_OF, CONTEXT, RAW_REPORTS, RAW_RULES, RAW_TABLES, dirty, from_sql, raw
@@ -49,6 +49,7 @@ RULE_KINDS = {
 LATER = datetime(2028, 1, 1)
 RUN_1 = replace(CONTEXT, name="RUN_1")
 RUN_2 = replace(CONTEXT, run_time=datetime(2026, 1, 2), as_of=LATER, name="RUN_2")
+FIRST_RUN, SECOND_RUN = replace(RUN_1, name="007"), replace(RUN_2, name="a/b")
 RUN_3 = replace(CONTEXT, run_time=datetime(2026, 1, 2), as_of=AS_OF, name="RUN_3")
 HISTORY = (
     (RUN_1, ("patients", "encounters", "lab_results", "medications")),
@@ -103,11 +104,12 @@ def _time_text(df: DataFrame, name: str = "run_time") -> DataFrame:
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four tables written as CSV, loaded back, and counted."""
     folder = new_folder(spark)
-    for name, df in dirty(spark, sf_dir).items():
-        _write_csv(df, f"{folder}/{name}.csv")
-    counted = settle(count_records(load_tables(spark, folder)))
-    remove(spark, folder)
-    return counted
+    try:
+        for name, df in dirty(spark, sf_dir).items():
+            _write_csv(df, f"{folder}/{name}.csv")
+        return settle(count_records(load_tables(spark, folder)))
+    finally:
+        remove(spark, folder)
 
 
 @query("load_null_tokens")
@@ -132,9 +134,12 @@ def _load_text(spark: SparkSession, sf_dir: str, text: str, schema: dict[str, st
     folder = new_folder(spark)
     (name, columns), = schema.items()
     (contents,) = from_sql(spark, sf_dir, text)
-    _write_csv(contents, f"{folder}/{name}.csv")
-    types = StructType.fromDDL(columns)
-    return load_tables(spark, folder, {name: types})[name]
+    try:
+        _write_csv(contents, f"{folder}/{name}.csv")
+        types = StructType.fromDDL(columns)
+        return settle(load_tables(spark, folder, {name: types})[name])
+    finally:
+        remove(spark, folder)
 
 
 def _write_csv(df: DataFrame, path: str) -> None:
@@ -176,9 +181,10 @@ def rule_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _staged_profile(spark: SparkSession, sf_dir: str, *names: str, samples: bool = False) -> DataFrame:
     """The profile of dirty views, which are staged for it and removed after it."""
     folder = new_folder(spark)
-    profiled = settle(profile(stage(dirty(spark, sf_dir, *names), folder), samples))
-    remove(spark, folder)
-    return profiled
+    try:
+        return settle(profile(stage(dirty(spark, sf_dir, *names), folder), samples))
+    finally:
+        remove(spark, folder)
 
 
 # --- rules
@@ -487,6 +493,47 @@ def failed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.failed_rules(_chosen(spark, sf_dir))
 
 
+@query("dq_heatmap_raw")
+def dq_heatmap_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders under rules of categories that a radar does not show."""
+    return marts.heatmap(evaluate(raw(spark, sf_dir, "orders"), fixtures.ORDER_RULES, CONTEXT))
+
+
+def _stored(spark: SparkSession, sf_dir: str, keep_history: bool, read: Callable[[str], DataFrame]) -> DataFrame:
+    """What ``read`` finds in a governance folder after two runs; the second finds orders mended."""
+    folder = new_folder(spark)
+    tables = raw(spark, sf_dir, "orders", "customer")
+    try:
+        for run, rules in ((FIRST_RUN, fixtures.STORED_RULES), (SECOND_RUN, fixtures.MENDED_RULES)):
+            results = settle(evaluate(tables, rules, run))
+            frames = {"dq_results": results, "audit_log": audit_log(results, rules)}
+            load_governance(frames, folder, run.run_id, keep_history)
+        return settle(read(folder))
+    finally:
+        remove(spark, folder)
+
+
+@query("gov_history_open_issues")
+def gov_history_open_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def read(folder: str) -> DataFrame:
+        audit, results = (read_governance(spark, folder, n) for n in ("audit_log", "dq_results"))
+        return open_critical_issues(audit, results).select("run_id", "rule_id", "records_affected")
+
+    return _stored(spark, sf_dir, True, read)
+
+
+@query("gov_run_id_text")
+def gov_run_id_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("run_id", "rule_id", "status", "failed_records")
+    return _stored(spark, sf_dir, True, lambda f: read_governance(spark, f, "dq_results").select(*columns))
+
+
+@query("gov_replace_runs")
+def gov_replace_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("run_id", "rule_id", "status", "failed_records")
+    return _stored(spark, sf_dir, False, lambda f: read_governance(spark, f, "dq_results").select(*columns))
+
+
 @query("dq_heatmap")
 def dq_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.heatmap(_chosen(spark, sf_dir))
