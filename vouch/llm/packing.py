@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import combinations
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -22,11 +26,13 @@ END = 2
 BLOCK = 16_384
 #: Passes of the search over the bins of a block.
 PASSES = 4
-#: Texts that are encoded together, and encoded stretches that a task remembers.
-TEXTS, REMEMBERED = 512, 300_000
+#: Texts that are encoded together, and encoded stretches that a worker process remembers.
+TEXTS, REMEMBERED = 512, 1_000_000
 
 #: A blank after anything but white space always starts a new stretch of tokens.
 _BLANK = re.compile(r"(?<=\S) ")
+#: Without these all blanks do: white space before a blank, or one at the start.
+_UNUSUAL = re.compile(r"\s |\A ")
 
 
 class Encoder:
@@ -42,20 +48,40 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # by what follows the blank
+
+    @classmethod
+    def of_process(cls, vocabulary: str) -> Encoder:
+        """The encoder of this worker process: tasks that run in it one after another share it."""
+        shared = sys.modules.setdefault("vouch_llm_encoders", ModuleType("vouch_llm_encoders")).__dict__
+        key = hashlib.md5(vocabulary.encode()).hexdigest()
+        if key not in shared:
+            shared[key] = cls(vocabulary)
+        return shared[key]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        split = []
-        for text in texts:
-            first, *rest = _BLANK.split(text)
-            split.append([first, *[" " + part for part in rest]])
-        missing = list({part for parts in split for part in parts if part not in self.known})
-        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        for part, encoding in zip(missing, found, strict=True):
-            self.known[part] = np.array(encoding.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in split]
+        split = [self._stretches(text) for text in texts]
+        missing = [*set().union(*[parts[1:] for parts in split]).difference(self.known)]
+        for part, ids in zip(missing, self._encoded([" " + part for part in missing]), strict=True):
+            self.known[part] = ids
+        starts = self._encoded([parts[0] for parts in split])
+        get = self.known.__getitem__
+        return [start + b"".join(map(get, parts[1:])) for start, parts in zip(starts, split, strict=True)]
+
+    @staticmethod
+    def _stretches(text: str) -> list[str]:
+        """The text up to the first blank that starts a stretch, and what follows each such blank."""
+        return _BLANK.split(text) if _UNUSUAL.search(text) else text.split(" ")
+
+    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
+        little = sys.byteorder == "little"
+        for encoding in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            ids = array("I", encoding.ids)
+            if not little:
+                ids.byteswap()
+            yield ids.tobytes()
 
 
 def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -76,7 +102,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
     last = np.array([end], "<u4").tobytes()
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(vocabulary)
+        encoder = Encoder.of_process(vocabulary)
         for batch in batches:
             for k in range(0, len(batch), TEXTS):
                 some, rows = batch.iloc[k : k + TEXTS], []
