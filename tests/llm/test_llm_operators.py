@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -328,11 +329,28 @@ def test_bpe_matches_the_library(spark, docs, rows, ranked, empty):
             joined = " ".join(map(str, ids)).encode()
             yield i, len(ids), hashlib.sha256(joined).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
 
-    for most in (bpe.FREQUENT, 20):
-        same(bpe.digests(spark.createDataFrame(given, DOCS), ranked, most).collect(), expected())
+    given_docs = spark.createDataFrame(given, DOCS)
+    same(bpe.digests(given_docs, ranked).collect(), expected())
+    clash = bpe.encode(given_docs.withColumn("ids", F.lit("x")), ranked)
+    assert clash.columns == ["doc_id", "text", "lang", "ids"] and clash.count() == len(given)
     assert bpe.digests(empty, ranked).count() == 0
 
 
+def test_bpe_folds_alike_at_any_length(ranked):
+    import tiktoken
+
+    encoding = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=ranked.pieces, special_tokens={})
+    rng, merges = random.Random(2), bpe.Merges(ranked.pieces)
+    words = {"".join(rng.choice("abcdet =-é中🙂 ing") for _ in range(rng.randint(1, 90))) for _ in range(400)} | {"=" * 70, "a" * 3000}
+    lists, place = merges.encode(pa.array(sorted(words)))
+    for word, k in zip(sorted(words), place, strict=True):
+        expected = encoding.encode_ordinary(word)
+        assert lists[int(k)].as_py() == expected
+        assert [merges.fold_long(word.encode())] * (word.encode() not in ranked.pieces) == [expected] * (word.encode() not in ranked.pieces)
+    with pytest.raises(ValueError, match="bytes without a piece"):
+        bpe.Merges({b"a": 0})
+
+
 # --- op8
 
 

@@ -1,22 +1,28 @@
-"""Byte-level BPE with Spark's higher-order functions: encoding and decoding."""
+"""Byte-level BPE: ranked merges folded over the bytes of distinct words; decoding concatenates pieces.
+
+Spark cuts the texts and joins the pieces again with higher-order functions. The fold itself runs in
+tasks on Arrow batches, as a fold in higher-order functions took too long (figures in the README).
+"""
 
 from __future__ import annotations
 
 import base64
-import json
 from collections.abc import Callable
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
-import xxhash
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vouch.llm.frames import let
-from vouch.sources.staging import settle
-
-#: The most frequent words that are encoded beforehand, which bounds the literal that holds them.
-FREQUENT = 1 << 17
-SEED = 42
+#: Words of more bytes are folded one by one with a heap, the others together.
+LONG = 64
+#: Bytes of words of equal length that are folded together.
+CELLS = 1 << 20
+#: The rank of two parts that no merge joins.
+NONE = np.iinfo(np.int32).max
 
 
 @dataclass(frozen=True)
@@ -34,46 +40,131 @@ class Vocabulary:
         return cls({base64.b64decode(piece): int(rank) for piece, rank in pairs}, pattern)
 
 
-def table(entries: dict[str, object], kind: str) -> Callable[[Column], Column]:
-    """A literal hash table without collisions; returns its lookup, null for other keys.
-
-    Spark searches a literal map entry by entry, so a large one would cost its whole size a
-    lookup. Here a key's hash names a group, the group's factor turns the hash into a slot, and
-    the slot holds the key and its value: flat arrays, one probe. The factors are found group
-    by group, largest first, such that no two keys share a slot.
-    """
-    bits = max(4, (2 * len(entries)).bit_length())
-    groups, slots = 1 << (bits - 3), 1 << bits
-    hashes = {key: xxhash.xxh64_intdigest(key.encode(), SEED) for key in entries}
-    members: list[list[str]] = [[] for _ in range(groups)]
-    for key, h in hashes.items():
-        members[h & (groups - 1)].append(key)
-    factors, keys, values = [1] * groups, [None] * slots, [None] * slots
-    place = lambda h, factor: ((h >> 33) * factor >> 20) & (slots - 1)
-    for group in sorted(range(groups), key=lambda g: -len(members[g])):
-        own = [hashes[key] for key in members[group]]
-        for factor in range(1, 1 << 31, 2):
-            taken = {place(h, factor) for h in own}
-            if len(taken) == len(own) and all(keys[t] is None for t in taken):
-                break
-        else:
-            raise ValueError("keys with equal hashes")
-        factors[group] = factor
-        for key in members[group]:
-            slot = place(hashes[key], factor)
-            keys[slot], values[slot] = key, entries[key]
-    literal = lambda x, of: F.from_json(F.lit(json.dumps(x, ensure_ascii=False, separators=(",", ":"))), f"array<{of}>")
-    factor, held, value = literal(factors, "bigint"), literal(keys, "string"), literal(values, kind)
-
-    def lookup(key: Column) -> Column:
-        def probe(h: Column) -> Column:
-            spread = F.shiftrightunsigned(h, 33) * F.get(factor, h.bitwiseAND(F.lit(groups - 1)).cast("int"))
-            return F.shiftright(spread, 20).bitwiseAND(F.lit(slots - 1)).cast("int")
-
-        slot = let(F.xxhash64(key), probe)
-        return let(slot, lambda at: F.when(F.get(held, at) == key, F.get(value, at)))
-
-    return lookup
+class Merges:
+    """The literal rank map: which two ids of a vocabulary join to which, in sorted arrays."""
+
+    def __init__(self, pieces: dict[bytes, int]):
+        if missing := [b for b in range(256) if bytes([b]) not in pieces]:
+            raise ValueError(f"bytes without a piece: {missing}")
+        joined = {}
+        for piece, rank in pieces.items():
+            for k in range(1, len(piece)):
+                left, right = pieces.get(piece[:k]), pieces.get(piece[k:])
+                if left is not None and right is not None:
+                    joined[left << 32 | right] = rank
+        self.pairs = np.array([*sorted(joined), np.iinfo(np.int64).max])  # the last one ends the search
+        self.ranks = np.array([*(joined[pair] for pair in sorted(joined)), NONE], np.int32)
+        self.octets = np.array([pieces[bytes([b])] for b in range(256)], np.int32)
+        self.pieces = pa.array(list(pieces), pa.binary())
+        self.ids = np.array(list(pieces.values()), np.int32)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The id that two ids join to, which is also the rank of their merge."""
+        pair = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.pairs, pair)
+        return np.where(self.pairs[at] == pair, self.ranks[at], NONE)
+
+    def fold(self, octets: np.ndarray) -> np.ndarray:
+        """The ids of words of equal length, a row each: -1 where a part went into the one before.
+
+        Each step joins, in all words at once, the adjacent pair of lowest rank, the leftmost of
+        equal ones, and ranks the two pairs that this makes.
+        """
+        rows, n = octets.shape
+        ids = self.octets[octets]
+        after = np.tile(np.arange(1, n + 1, dtype=np.int32), (rows, 1))
+        before = after - 2
+        ranks = np.full((rows, n), NONE, np.int32)  # of each part with the following one
+        ranks[:, :-1] = self.rank(ids[:, :-1], ids[:, 1:])
+        live = np.arange(rows)
+        while live.size:
+            at = ranks[live].argmin(axis=1)
+            low = ranks[live, at]
+            going = low != NONE
+            live, at, low = live[going], at[going], low[going]
+            gone = after[live, at]
+            beyond = after[live, gone]
+            ids[live, at], ids[live, gone] = low, -1
+            ranks[live, at] = ranks[live, gone] = NONE
+            after[live, at] = beyond
+            some = beyond < n
+            word, this, other = live[some], at[some], beyond[some]
+            before[word, other] = this
+            ranks[word, this] = self.rank(low[some], ids[word, other])
+            some = before[live, at] >= 0
+            word, other = live[some], before[live, at][some]
+            ranks[word, other] = self.rank(ids[word, other], low[some])
+        return ids
+
+    def fold_long(self, word: bytes) -> list[int]:
+        """The ids of one word, by the same merges in the order of a heap: n log n for n bytes."""
+        ids = self.octets[np.frombuffer(word, np.uint8)]
+        n = len(ids)
+        first = self.rank(ids[:-1], ids[1:])
+        heap = [(int(first[at]), int(at)) for at in np.flatnonzero(first != NONE)]
+        heapify(heap)
+        ids, after, before = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        now = first.tolist() + [NONE]
+        joined = dict(zip(self.pairs.tolist(), self.ranks.tolist(), strict=True))
+        while heap:
+            low, at = heappop(heap)
+            if now[at] != low:
+                continue  # another merge took one of its parts
+            gone = after[at]
+            beyond = after[gone]
+            ids[at], ids[gone], now[at], now[gone], after[at] = low, -1, NONE, NONE, beyond
+            if beyond < n:
+                before[beyond] = at
+            for left, right in ((before[at], at), (at, beyond)):
+                if left >= 0 and right < n:
+                    now[left] = joined.get(ids[left] << 32 | ids[right], NONE)
+                    if now[left] != NONE:
+                        heappush(heap, (now[left], left))
+        return [i for i in ids if i >= 0]
+
+    def encode(self, words: pa.Array) -> tuple[pa.ListArray, np.ndarray]:
+        """Lists of ids, and which of them each of the (distinct, not null) words has.
+
+        A word that is a piece has the piece's id, whether or not merges lead there.
+        """
+        words = words.cast(pa.binary())
+        whole = pc.index_in(words, self.pieces)
+        piece = pc.fill_null(whole, -1).to_numpy(zero_copy_only=False)
+        offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+        data = np.frombuffer(words.buffers()[2], np.uint8) if len(words) else np.empty(0, np.uint8)
+        lengths = np.where(piece < 0, np.diff(offsets), 0)
+        sizes, ids, order = [np.ones((piece >= 0).sum(), np.int32)], [self.ids[piece[piece >= 0]]], [np.flatnonzero(piece >= 0)]
+        for n in np.unique(lengths[(lengths > 0) & (lengths <= LONG)]).tolist():
+            same = np.flatnonzero(lengths == n)
+            for k in range(0, len(same), CELLS // n):
+                some = same[k : k + CELLS // n]
+                parts = self.fold(data[offsets[some][:, None] + np.arange(n)])
+                sizes.append((parts >= 0).sum(axis=1, dtype=np.int32))
+                ids.append(parts[parts >= 0])
+                order.append(some)
+        for k in np.flatnonzero(lengths > LONG):
+            ids.append(np.array(self.fold_long(words[int(k)].as_py()), np.int32))
+            sizes.append(np.array([len(ids[-1])], np.int32))
+            order.append(np.array([k]))
+        place = np.empty(len(words), np.int32)
+        place[np.concatenate(order)] = np.arange(len(words), dtype=np.int32)
+        starts = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
+        return pa.ListArray.from_arrays(starts, np.concatenate(ids)), place
+
+
+def encoder(vocabulary: Vocabulary) -> Callable[[Column], Column]:
+    """The function from the words of a text to its ids. A batch folds each distinct word once."""
+    merges = Merges(vocabulary.pieces)
+
+    @F.arrow_udf("array<int>")
+    def ids(words: pa.Array) -> pa.Array:
+        distinct = words.flatten().dictionary_encode()
+        lists, place = merges.encode(distinct.dictionary)
+        every = lists.take(pa.array(place[distinct.indices.to_numpy()]))
+        ends = words.offsets.to_numpy()
+        return pa.ListArray.from_arrays(every.offsets.take(pa.array(ends - ends[0])), every.values)
+
+    return ids
 
 
 def cut(text: Column, vocabulary: Vocabulary) -> Column:
@@ -81,83 +172,14 @@ def cut(text: Column, vocabulary: Vocabulary) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + vocabulary.pattern), F.lit(0))
 
 
-def fold(octets: Column, rank: Callable[[Column], Column]) -> Column:
-    """The ids of a word given as hex digits: its bytes, merged pair by pair in order of rank.
-
-    Each step joins the adjacent pair of lowest rank, the leftmost of equal ones, and looks up
-    the two pairs that this makes. A word of n bytes takes n - 1 steps at most; a word that is
-    a piece itself takes none.
-    """
-
-    def merge(state: Column, _: Column) -> Column:
-        def joined(low: Column) -> Column:
-            parts, found = state["parts"], state["ranks"]
-            at = F.array_position(found, low).cast("int")  # the pair of parts at and at + 1, from 1
-            pair = F.concat(F.get(parts, at - 1), F.get(parts, at))
-
-            def around(p: Column) -> Column:
-                before = F.when(at > 1, F.array(rank(F.concat(F.get(parts, at - 2), p)))).otherwise(none)
-                after = F.when(at < F.size(found), F.array(rank(F.concat(p, F.get(parts, at + 1))))).otherwise(none)
-                left = F.when(at > 2, F.slice(found, 1, at - 2)).otherwise(none)
-                return F.struct(
-                    F.concat(F.slice(parts, 1, at - 1), F.array(p), F.slice(parts, at + 2, F.size(parts))).alias("parts"),
-                    F.concat(left, before, after, F.slice(found, at + 2, F.size(found))).alias("ranks"),
-                )
-
-            return F.when(low.isNull(), state).otherwise(let(pair, around))
-
-        return let(F.array_min(state["ranks"]), joined)
-
-    none = F.array().cast("array<int>")
-    octet = F.regexp_extract_all(octets, F.lit(".."), F.lit(0))
-
-    def start(parts: Column) -> Column:
-        pairs = F.zip_with(F.slice(parts, 1, F.size(parts) - 1), F.slice(parts, 2, F.size(parts)), lambda a, b: rank(F.concat(a, b)))
-        return F.struct(parts.alias("parts"), pairs.alias("ranks"))
-
-    merged = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.length(octets) / 2 - 1, F.lit(1)).cast("int")),
-        let(octet, start),
-        merge,
-        lambda s: F.transform(s["parts"], rank),
-    )
-    return let(rank(octets), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(merged))
-
-
-def ranks(vocabulary: Vocabulary) -> Callable[[Column], Column]:
-    return table({piece.hex().upper(): rank for piece, rank in vocabulary.pieces.items()}, "int")
-
-
-def frequent_words(docs: DataFrame, vocabulary: Vocabulary, most: int = FREQUENT) -> DataFrame:
-    """At most ``most`` distinct words, the most frequent of all documents.
-
-    Words are counted in each task before the shuffle. Where to cut is read off the number of
-    words per count, of which there are few; words of equal counts stay or go together.
-    """
-    counts = settle(docs.select(F.explode(cut(F.col("text"), vocabulary)).alias("word")).groupBy("word").count().where("count > 1"))
-    least, total = None, 0
-    for row in counts.groupBy("count").agg(F.count("*").alias("n")).orderBy(F.desc("count")).collect():
-        total += row.n
-        if total > most:
-            break
-        least = row["count"]
-    return counts.where(F.col("count") >= F.lit(least)).select("word")
-
-
-def encode(docs: DataFrame, vocabulary: Vocabulary, most: int = FREQUENT) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """The frame with ``ids``, the token ids of the whole text; a null text has none.
 
-    The frequent words are folded once, in tasks, and become a literal table of bounded size;
-    a document looks its words up there and folds the others itself. No word is shuffled but
-    to count it. The added column replaces one of its name.
+    Nothing is shuffled and nothing kept from one Arrow batch to the next, so memory is bounded
+    by a batch (``spark.sql.execution.arrow.maxBytesPerBatch``) and the longest text. The added
+    column replaces one of its name. Repeated rows stay; a vocabulary must have all 256 bytes.
     """
-    rank = ranks(vocabulary)
-    octets = lambda w: F.hex(w.cast("binary"))
-    words = frequent_words(docs, vocabulary, most)
-    known = words.select("word", fold(octets(F.col("word")), rank).alias("ids")).collect()  # at most ``most`` rows
-    lookup = table({r.word: r.ids for r in known}, "array<int>")
-    each = F.transform(cut(F.col("text"), vocabulary), lambda w: F.coalesce(lookup(w), fold(octets(w), rank)))
-    return docs.withColumn("ids", F.flatten(each))
+    return docs.withColumn("ids", encoder(vocabulary)(cut(F.col("text"), vocabulary)))
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
@@ -167,9 +189,9 @@ def decode(ids: Column, vocabulary: Vocabulary) -> Column:
     return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), "", "?"))
 
 
-def digests(docs: DataFrame, vocabulary: Vocabulary, most: int = FREQUENT) -> DataFrame:
+def digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document, a row per row."""
-    encoded = encode(docs.select("doc_id", "text"), vocabulary, most)
+    encoded = encode(docs.select("doc_id", "text"), vocabulary)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
