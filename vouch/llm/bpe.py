@@ -9,6 +9,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -58,6 +59,11 @@ class Merges:
         self.pieces = pa.array(list(pieces), pa.binary())
         self.ids = np.array(list(pieces.values()), np.int32)
 
+    @cached_property
+    def joined(self) -> dict[int, int]:
+        """The rank map for single lookups, made in the task that first meets a long word."""
+        return dict(zip(self.pairs.tolist(), self.ranks.tolist(), strict=True))
+
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The id that two ids join to, which is also the rank of their merge."""
         pair = left.astype(np.int64) << 32 | right
@@ -105,7 +111,6 @@ class Merges:
         heapify(heap)
         ids, after, before = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
         now = first.tolist() + [NONE]
-        joined = dict(zip(self.pairs.tolist(), self.ranks.tolist(), strict=True))
         while heap:
             low, at = heappop(heap)
             if now[at] != low:
@@ -117,7 +122,7 @@ class Merges:
                 before[beyond] = at
             for left, right in ((before[at], at), (at, beyond)):
                 if left >= 0 and right < n:
-                    now[left] = joined.get(ids[left] << 32 | ids[right], NONE)
+                    now[left] = self.joined.get(ids[left] << 32 | ids[right], NONE)
                     if now[left] != NONE:
                         heappush(heap, (now[left], left))
         return [i for i in ids if i >= 0]
