@@ -129,6 +129,19 @@ def test_hosts_and_rules(spark):
     assert urls.judge_pages(pages.where("false"), URL_RULES).count() == 0
 
 
+def test_verdicts_do_not_depend_on_the_number_of_seeds(spark):
+    kind = "page_id bigint, url string, html string"
+    graph = [(0, "x://b.net/", None), (1, "x://g.org/fr/", '<a href="//both.info/">'), (2, "x://both.info/", '<a href="//b.net/">')]
+    graph += [(k, f"x://h{k}.info/", '<a href="//b.net/">') for k in range(3, 2001)]
+    small = spark.createDataFrame(graph, kind)
+    # as many seeds of both kinds as 200,000 copies of the seeds above have, apart from the graph
+    other = spark.range(4000, 404_000).selectExpr("id", "if(id % 2 = 0, 'x://o.net/', 'x://o.org/fr/')", "string(null)")
+    for pages in (small, small.unionAll(other)):
+        found = {r.page_id: r.verdict for r in urls.judge_pages(pages, URL_RULES).where("page_id < 4000").collect()}
+        # distrusted hosts without trust, and one with more trust than distrust
+        assert found == {0: "block", 1: "allow", 2: "allow", **dict.fromkeys(range(3, 2001), "block")}
+
+
 # --- op3
 
 

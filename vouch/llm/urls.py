@@ -16,7 +16,7 @@ ITERATIONS = 10
 CUT = 5
 #: A host is blocked if its distrust is over this many times its trust.
 THRESHOLD = 1.0
-#: Digits to which scores are compared.
+#: Significant digits to which a host's two scores are compared, so that sums in another order tie.
 DIGITS = 9
 
 AFTER_SCHEME = r"^(?s:.*?)://([^/?#]*)([^?#]*)"
@@ -99,7 +99,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS,
         scores = passed.unionAll(base).groupBy("side", "host").agg(F.sum("score").alias("score"))
         if k % CUT == 0 and k < iterations:
             scores = settle(scores)
-    side = lambda s: F.round(F.sum(F.when(F.col("side") == s, F.col("score")).otherwise(0.0)), DIGITS)
+    side = lambda s: F.sum(F.when(F.col("side") == s, F.col("score")).otherwise(0.0))
     return scores.groupBy("host").agg(side("trust").alias("trust"), side("distrust").alias("distrust"))
 
 
@@ -108,7 +108,8 @@ def judge_pages(pages: DataFrame, rules: list[UrlRule], threshold: float = THRES
 
     A page that a rule fits gets its verdict. Each host with such pages is a seed, with the
     share of them that fall to it; a seed of both kinds counts for both. Any other page is
-    blocked if its host's distrust is over ``threshold`` times its trust. Pages without a host
+    blocked if its host's distrust is over ``threshold`` times its trust. Scores shrink as seeds
+    grow in number, so they are compared with each other and not rounded. Pages without a host
     (null url, no ``://``) and hosts that no seed reaches are allowed. Null html has no links.
     """
     host, path = host_and_path(F.col("url"))
@@ -123,6 +124,7 @@ def judge_pages(pages: DataFrame, rules: list[UrlRule], threshold: float = THRES
     seeds = kinds.join(totals, "side").select("side", "host", (F.col("n") / F.col("total")).alias("seed"))
     scores = settle(propagate(edges, seeds))
     score = lambda c: F.coalesce(c, F.lit(0.0)).alias(c)
-    by_method = F.when(F.coalesce("distrust", F.lit(0.0)) > threshold * F.coalesce("trust", F.lit(0.0)), "block").otherwise("allow")
+    least = threshold * (1 + 10.0**-DIGITS) * F.coalesce("trust", F.lit(0.0))
+    by_method = F.when(F.coalesce("distrust", F.lit(0.0)) > least, "block").otherwise("allow")
     verdict = F.coalesce("ruled", by_method).alias("verdict")
     return marked.join(scores, "host", "left").select("page_id", "host", "path", "rule", verdict, score("trust"), score("distrust"))
