@@ -260,6 +260,17 @@ def test_positions_over_many_batches(docs, rows, monkeypatch):
     same(suffixes.digests(docs).collect(), repeats(rows))
 
 
+def test_surroundings_that_agree_in_forty_bits(spark):
+    # a common string of 20 bytes; the names of both whole strings differ in the last 24 bits alone
+    texts = ["tsukvwbwfdzcfvknxuyerolwsvxitldblszzyjgdetjkcusjxc", "eyuxzggqqtcwzaqnxuyerolwsvxitldblszbowqltcbkedqbdr"]
+    a, b = (suffixes.stretches(np.frombuffer(t.encode(), np.uint8)) for t in texts)
+    assert a[0] == b[0] and a[1] != b[1] and a[1] >> np.uint64(24) == b[1] >> np.uint64(24)
+    given = [(k, t, None) for k, t in enumerate(texts)]
+    for parts in (1, 2):  # both in one task, and in two
+        frame = spark.createDataFrame(given, DOCS).repartitionByRange(parts, "doc_id")
+        same(suffixes.digests(frame).collect(), repeats(given))
+
+
 # --- op6
 
 
