@@ -271,6 +271,31 @@ def test_surroundings_that_agree_in_forty_bits(spark):
         same(suffixes.digests(frame).collect(), repeats(given))
 
 
+def test_a_hot_string_does_not_meet_in_one_task(spark, monkeypatch):
+    rng, rank = random.Random(3), suffixes.rank
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    # the string in the middle has the smallest name of all 20-byte strings of these texts
+    found = [letters(15) + "nxuyerolwsvxitldblsz" + letters(15) for _ in range(600)]
+    given = [(k, rng.choice(found[:k]) if k % 5 == 4 else t, None) for k, t in enumerate(found)]
+
+    def limited(name, context, doc):
+        assert len(name) <= 200
+        return rank(name, context, doc)
+
+    monkeypatch.setattr(suffixes, "FLUSH", 50)
+    monkeypatch.setattr(suffixes, "HOT", 4, raising=False)
+    monkeypatch.setattr(suffixes, "rank", limited)
+    frame = spark.createDataFrame(given, DOCS)
+    same(suffixes.digests(frame).collect(), repeats(given))
+
+
+@pytest.mark.parametrize("hot", [0, 1, 3])
+def test_hot_names_match_brute_force(docs, rows, monkeypatch, hot):
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    monkeypatch.setattr(suffixes, "FLUSH", 3000)
+    same(suffixes.digests(docs).collect(), repeats(rows))
+
+
 # --- op6
 
 

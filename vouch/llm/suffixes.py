@@ -11,11 +11,13 @@ at the position and h further on, until names are unique or long enough. Here:
 * Spark deals the positions by name, each part sorts them, and those with a name that no
   other document has are dropped. Where all stretches of a name are equal, the smallest
   doc_id is known. Only stretches that differ around an equal name are ranked again, at
-  ``LEAST`` bytes, past which no longer prefix is asked for.
+  ``LEAST`` bytes, past which no longer prefix is asked for; Spark deals those by the names of
+  ``LEAST`` bytes. A name with many surroundings in a task goes there without being ranked
+  first, so however many it has they never meet in one task.
 
 Bytes are never compared, only names. Of m different surroundings of one string of ``GRAM`` bytes
-about m * m / 2^65 pairs have the same 64-bit name of the whole stretch and count as equal, and
-as many of m different strings of ``LEAST`` bytes that are ranked again: 3e-6 at ten million.
+about m * m / 2^65 pairs have the same 64-bit name of the whole stretch and count as equal:
+3e-6 at ten million. Strings that are ranked again have two names.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ STRETCH = 32
 FLUSH = 1 << 19
 #: Parts that the positions are dealt into, per shuffle partition.
 PARTS = 4
+#: A name with more different surroundings than this in what a task sends at once is ranked by its strings.
+HOT = 16
 #: Stands for a null doc_id, which comes after all others.
 LAST = (1 << 63) - 1
 
@@ -60,6 +64,12 @@ def names(octets: np.ndarray, length: int) -> np.ndarray:
     return pair(x[: len(x) - (length - h)], x[length - h :]) if h < length else x
 
 
+def whole(short: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The name of the LEAST bytes at some positions, by the names of GRAM bytes."""
+    half = LEAST - 2 * GRAM
+    return pair(pair(short[at], short[at + GRAM]), pair(short[at + half], short[at + LEAST - GRAM]))
+
+
 def stretches(octets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Name, name of the whole, first string and number of strings of each stretch of a text."""
     short = names(octets, GRAM)
@@ -76,12 +86,7 @@ def stretches(octets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
         first = np.repeat(first, pieces) + number * STRETCH
         lengths = np.diff(np.append(first, count))
     last = first + lengths - 1
-
-    def whole(at: np.ndarray) -> np.ndarray:
-        half = LEAST - 2 * GRAM
-        return pair(pair(short[at], short[at + GRAM]), pair(short[at + half], short[at + LEAST - GRAM]))
-
-    context = pair(whole(first), whole(last)) + lengths.astype(np.uint64) * _K2
+    context = pair(whole(short, first), whole(short, last)) + lengths.astype(np.uint64) * _K2
     return least[first], context, first, lengths
 
 
@@ -127,13 +132,23 @@ _RANKED = "doc bigint, start bigint, stop bigint, name bigint"
 
 
 def _send(found: list[tuple], parts: int) -> pd.DataFrame:
-    """The stretches of some texts, a row per part, and those that repeat among them as spans."""
+    """The stretches of some texts, a row per part; as spans, those that repeat among them and those of hot names."""
     name, context, start, length, doc = (np.concatenate(x) for x in zip(*found, strict=True))
     order, of_context, _ = rank(name, context, doc)
     name, context, start, length, doc = (x[order] for x in (name, context, start, length, doc))
     again = doc > of_context
     spans = merged(doc[again], start[again], start[again] + length[again] + LEAST - 1)
     name, context, start, length, doc = (x[~again] for x in (name, context, start, length, doc))
+    # the stretches of hot names are open at once; a row without length says so to the part of the name
+    at = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
+    new = np.concatenate(([True], (name[1:] != name[:-1]) | (context[1:] != context[:-1])))
+    many = np.add.reduceat(new.astype(np.int64), at) > HOT
+    hot = np.repeat(many, np.diff(np.append(at, len(name))))
+    opened = [x[hot].astype("<i8") for x in (doc, start, start + length + LEAST - 1)]
+    opened_names, marks = name[hot].view("<i8"), at[many]
+    name, context, start, length, doc = (
+        np.concatenate((x[~hot], y)) for x, y in zip((name, context, start, length, doc), (name[marks], context[marks], start[marks], 0 * length[marks], doc[marks]), strict=True)
+    )
     base = int(doc.min())
     wide = int(doc.max()) - base >= 1 << 32
     kinds = ("<u8", "<u8", "<u8" if wide else "<u4", "<u4", "u1")
@@ -149,6 +164,8 @@ def _send(found: list[tuple], parts: int) -> pd.DataFrame:
     if len(spans):
         known = [spans[c].to_numpy().astype("<i8").tobytes() for c in ("doc", "start", "stop")]
         rows.append((int(start.sum()) % parts, 0, True, None, None, *known))
+    if len(opened_names):
+        rows.append((int(opened[1].sum()) % parts, 0, True, None, opened_names.tobytes(), *[x.tobytes() for x in opened]))
     return pd.DataFrame(rows, columns=["part", "base", "wide", "names", "contexts", "docs", "starts", "lengths"])
 
 
@@ -178,7 +195,8 @@ def _ranked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row in batch.itertuples(index=False):
             if row.names is None:
                 doc, start, stop = (np.frombuffer(x, "<i8") for x in (row.docs, row.starts, row.lengths))
-                yield pd.DataFrame({"doc": doc, "start": start, "stop": stop, "name": None})
+                name = None if row.contexts is None else np.frombuffer(row.contexts, "<i8")
+                yield pd.DataFrame({"doc": doc, "start": start, "stop": stop, "name": name})
                 continue
             kinds = ("<u8", "<u8", "<u8" if row.wide else "<u4", "<u4", "u1")
             sent = (row.names, row.contexts, row.docs, row.starts, row.lengths)
@@ -189,6 +207,10 @@ def _ranked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     if not fields[0]:
         return
     name, context, doc, start, length = (np.concatenate(x) for x in fields)
+    hot, real = np.unique(name[length == 0]), length > 0
+    if not real.any():
+        return
+    name, context, doc, start, length = (x[real] for x in (name, context, doc, start, length))
     order, of_context, of_name = rank(name, context, doc)
     name, doc, start, length = name[order], doc[order], start[order].astype(np.int64), length[order].astype(np.int64)
     again = doc > of_context
@@ -198,7 +220,7 @@ def _ranked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     at = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
     latest = np.maximum.reduceat(of_context, at)
     mixed = np.repeat(latest, np.diff(np.append(at, len(name)))) > of_name
-    is_open = mixed & ~again
+    is_open = (mixed | np.isin(name, hot)) & ~again
     yield pd.DataFrame(
         {
             "doc": doc[is_open],
@@ -209,23 +231,30 @@ def _ranked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     )
 
 
-def _ranked_again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Spans of strings of LEAST bytes that an earlier document has, among the open stretches of a part."""
-    found = [batch for batch in batches if len(batch)]
-    if not found:
-        return
-    rows = pd.concat(found, ignore_index=True)
-    octets = np.frombuffer(b"".join(rows["octets"]), np.uint8)
-    sizes = rows["octets"].map(len).to_numpy(np.int64)
-    counts = sizes - LEAST + 1
-    inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = np.repeat(np.cumsum(sizes) - sizes, counts) + inside
-    doc = np.repeat(rows["doc"].to_numpy(np.int64), counts)
-    start = np.repeat(rows["start"].to_numpy(np.int64), counts) + inside
-    order, first, _ = rank(names(octets, LEAST)[at], np.zeros(len(at), np.uint64), doc)
-    doc, start = doc[order], start[order]
-    again = doc > first
-    yield merged(doc[again], start[again], start[again] + LEAST)
+def _strings(parts: int):
+    """The strings of LEAST bytes of open stretches, sent as stretches of one string with two names."""
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found, size = [], 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            octets = np.frombuffer(b"".join(batch["octets"]), np.uint8)
+            sizes = batch["octets"].map(len).to_numpy(np.int64)
+            counts = sizes - LEAST + 1
+            inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            at = np.repeat(np.cumsum(sizes) - sizes, counts) + inside
+            doc = np.repeat(batch["doc"].to_numpy(np.int64), counts)
+            start = np.repeat(batch["start"].to_numpy(np.int64), counts) + inside
+            found.append((names(octets, LEAST)[at], whole(names(octets, GRAM), at), start, np.ones(len(at), np.int64), doc))
+            size += len(at)
+            if size >= FLUSH:
+                yield _send(found, parts)
+                found, size = [], 0
+        if found:
+            yield _send(found, parts)
+
+    return send
 
 
 def _based(docs: DataFrame) -> DataFrame:
@@ -271,8 +300,9 @@ def repeated_spans(based: DataFrame) -> DataFrame:
     within = still.join(texts, "doc").where("start >= base and stop <= base + octet_length(octets)")
     place, length = F.col("start") - F.col("base") + 1, F.col("stop") - F.col("start")
     own = F.substring("octets", place.cast("int"), length.cast("int"))
-    fetched = within.select("name", "doc", "start", own.alias("octets")).repartition(partitions(spark), "name")
-    return known.unionAll(fetched.drop("name").mapInPandas(_ranked_again, "doc bigint, start bigint, stop bigint"))
+    fetched = within.select("doc", "start", own.alias("octets")).mapInPandas(_strings(parts), _SENT)
+    again = fetched.repartition(partitions(spark), "part").mapInPandas(_ranked, _RANKED).where("name is null")
+    return known.unionAll(again.select("doc", "start", "stop"))
 
 
 def _with_spans(docs: DataFrame) -> DataFrame:
