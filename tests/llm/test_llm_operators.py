@@ -173,6 +173,17 @@ def test_simhash_matches_brute_force(docs, rows, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_every_group_keeps_a_row(spark):
+    a, b, c, d = ("alpha beta gamma", "the of delta", "one two three four", "five six seven")
+    given = [(None, a, "x"), (None, a, "y"), (None, b, None), (1, b, None), (7, c, None), (7, d, None), (2, c, None)]
+    kept = simhash.keep_first(spark.createDataFrame(given, DOCS)).collect()
+    same([(r.doc_id, r.text) for r in kept], [(None, a), (1, b), (2, c), (7, d)])
+    near = "alpha beta gamma the of " * 40
+    given = [(None, near + "x"), (None, near + "y"), (None, near + "y")]
+    assert (fingerprint(given[0][1]) ^ fingerprint(given[1][1])).bit_count() <= 3
+    assert simhash.keep_first(spark.createDataFrame(given, DOCS.rsplit(",", 1)[0])).count() == 1
+
+
 def test_near_links_are_complete(spark):
     rng = random.Random(2)
     points = [rng.getrandbits(64) for _ in range(300)]

@@ -125,10 +125,27 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each group, that of the smallest doc_id, with its columns as they were.
+    """One document of each group of near texts, that of the smallest doc_id, with its columns as they were.
 
-    Of rows that repeat a doc_id one stays.
+    Groups are formed by fingerprints alone, so every group keeps a row, whatever its doc_ids:
+    one with a null doc_id where all are null, and a doc_id of unrelated texts once for each
+    group in which it is the smallest. Of rows alike in doc_id and fingerprint one stays.
     """
-    groups = near_duplicates(docs, shingle, max_bits)
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+    @F.pandas_udf("bigint")
+    def hashed(texts: pd.Series) -> pd.Series:
+        values = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
+        return pd.Series(values.view(np.int64))
+
+    found = settle(fingerprints(docs, shingle))
+    # null doc_ids come last, and the smallest fingerprint decides between classes of one doc_id
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fingerprint")
+    classes = settle(found.groupBy("fingerprint").agg(F.min(order).alias("first")))
+    points = classes.select("fingerprint", F.col("fingerprint").alias("rep"))
+    named = connected_components(near_links(points, max_bits))
+    grouped = classes.join(named, F.col("fingerprint") == F.col("id"), "left")
+    firsts = grouped.groupBy(F.coalesce("component", "fingerprint")).agg(F.min("first").alias("first"))
+    kept = firsts.select(F.col("first.doc_id").alias("__id"), F.col("first.fingerprint").alias("__first"))
+    marked = docs.withColumn("__fingerprint", hashed("text"))
+    same = (F.col("__fingerprint") == F.col("__first")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__fingerprint"]).select(*[F.col(f"`{c}`") for c in docs.columns])
