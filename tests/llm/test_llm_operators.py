@@ -445,6 +445,15 @@ def test_slots_over_several_runs(docs, rows, monkeypatch):
         assert slots == list(range(len(slots)))
 
 
+def test_texts_of_one_doc_id_are_numbered_in_several_runs(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_RUN", 3)
+    found = sharding.shard_documents(spark.createDataFrame([(None, f"text {k}", None) for k in range(100)], DOCS), 3).orderBy("slot").collect()
+    assert [r.slot for r in found] == list(range(100))
+    # a single run has its rows in the order of their checksums
+    sums = [r.text_crc32 for r in found]
+    assert sums != sorted(sums)
+
+
 def test_shards_can_be_written(spark, docs, tmp_path):
     sharding.write_shards(docs, str(tmp_path / "s"), 3)
     assert spark.read.parquet(str(tmp_path / "s")).count() == docs.count()

@@ -82,7 +82,8 @@ def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
     grown_shard. A null text has no bytes and checksum 0. Slots of a shard run from 0 without
     gaps. Rows that are alike in every column are counted before the shuffle and laid out
     again at the end, so a key that holds a third of all rows costs one row per task; a shard
-    is numbered in runs whose number grows with the input, never in one task.
+    is numbered in runs whose number grows with the input, never in one task: the different texts
+    of one doc_id are dealt over the runs too.
     """
     rows = docs.select(
         "doc_id",
@@ -90,12 +91,11 @@ def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
     )
     runs = max(1, -(-docs.count() // (shards * ROWS_PER_RUN)))
-    run = F.pmod(F.xxhash64("doc_id"), F.lit(runs)).alias("run")
+    run = F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(runs)).alias("run")
     shard, grown = jump(stable_key(F.col("doc_id")), shards)
     alike = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
     placed = alike.select("*", shard.alias("shard"), grown.alias("grown_shard"), run)
-    keys = docs.groupBy("doc_id").agg(F.count("*").alias("rows")).select("rows", shard.alias("shard"), run)
-    counted = keys.groupBy("shard", "run").agg(F.sum("rows").alias("rows"))
+    counted = placed.groupBy("shard", "run").agg(F.sum("copies").alias("rows"))
     before = Window.partitionBy("shard").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     starts = counted.select("shard", "run", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
     inside = (
