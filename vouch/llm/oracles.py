@@ -69,4 +69,32 @@ _CHATS = """WITH users AS (SELECT conv_id, turn, min(text) AS text FROM conversa
       ELSE '{"id":"' || conv_id || ':' || place || '","result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}' END AS json
     FROM rows_"""
 
-ORACLES: dict[str, str] = {"op2_url_filters": _url_filters(), "op10_chat_formatting": _CHATS}
+
+def _prefix_trie() -> str:
+    """Keys are MD5 of a prefix's turns; what a node gives goes along the path of its smallest member."""
+    bits = "list_reduce(range(8), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, byte))"
+    letters = "list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)"
+    crc = f"xor(list_reduce({letters}, lambda crc, byte: {bits}, 4294967295::BIGINT), 4294967295)"
+    turn = "md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))"
+    return f"""WITH turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {turn}) AS pos,
+        {turn} AS digest, strlen(coalesce(text, '')) AS bytes FROM conversations WHERE conv_id IS NOT NULL),
+    plan AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base FROM turns GROUP BY conv_id),
+    cuts AS (SELECT p.*, {crc} % 9 AS h FROM plan p),
+    sized AS (SELECT c.*, least(c.h, coalesce(b.n, 0)) AS taken FROM cuts c LEFT JOIN plan b ON c.base = b.conv_id),
+    rebuilt AS (SELECT s.conv_id, 0 AS depth, '' AS digest, 0 AS bytes FROM sized s
+      UNION ALL SELECT s.conv_id, t.pos, t.digest, t.bytes FROM sized s JOIN turns t ON s.base = t.conv_id AND t.pos <= s.h
+      UNION ALL SELECT s.conv_id, s.taken + t.pos - s.h, t.digest, t.bytes FROM sized s JOIN turns t ON s.conv_id = t.conv_id AND t.pos > s.h),
+    keyed AS (SELECT conv_id, depth, bytes, md5(string_agg(digest, '' ORDER BY depth) OVER w) || ':' || depth AS key, depth = max(depth) OVER (PARTITION BY conv_id) AS last
+      FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY depth)),
+    paths AS (SELECT *, lag(key) OVER (PARTITION BY conv_id ORDER BY depth) AS parent FROM keyed),
+    members AS (SELECT key, any_value(depth) AS depth, any_value(parent) AS parent, any_value(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n_convs,
+      sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256 FROM paths GROUP BY key),
+    kids AS (SELECT parent AS key, count(*) AS n_children FROM members WHERE parent IS NOT NULL GROUP BY parent),
+    nodes AS (SELECT m.*, coalesce(k.n_children, 0) AS n_children FROM members m LEFT JOIN kids k ON m.key = k.key),
+    sums AS (SELECT p.key, count(*) FILTER (WHERE n.n_children = 0) AS n_leaves, sum((n.n_convs - 1) * n.bytes)::BIGINT AS saved_tokens
+      FROM nodes n JOIN paths p ON n.conv_id = p.conv_id AND p.depth <= n.depth GROUP BY p.key)
+    SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+    FROM nodes n JOIN sums s ON n.key = s.key LEFT JOIN nodes u ON n.parent = u.key"""
+
+
+ORACLES: dict[str, str] = {"op2_url_filters": _url_filters(), "op10_chat_formatting": _CHATS, "op11_conversation_prefix_trie": _prefix_trie()}

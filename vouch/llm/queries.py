@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouch.llm import bpe, embeddings, language, packing, quality, sharding, simhash, suffixes, tool_calls, urls
+from vouch.llm import bpe, embeddings, language, packing, prefixes, quality, sharding, simhash, suffixes, tool_calls, urls
 from vouch.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls = tool_calls.format_chats(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
     return calls.withColumn("faults", F.array_join("faults", "; "))
+
+
+@query("op11_conversation_prefix_trie")
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
