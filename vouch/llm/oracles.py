@@ -97,4 +97,16 @@ def _prefix_trie() -> str:
     FROM nodes n JOIN sums s ON n.key = s.key LEFT JOIN nodes u ON n.parent = u.key"""
 
 
-ORACLES: dict[str, str] = {"op2_url_filters": _url_filters(), "op10_chat_formatting": _CHATS, "op11_conversation_prefix_trie": _prefix_trie()}
+#: Base 32 of a SHA-1: five hex digits are four letters.
+_WARC = """WITH hashed AS (SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+    dealt AS (SELECT page_id, strlen(html) AS payload_bytes,
+        list_transform(range(0, 40, 5), lambda i: ('0x' || substr(hex, i::INT + 1, 5))::INT) AS fives,
+        row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST) AS place, max(page_id) OVER (PARTITION BY html) AS top
+      FROM hashed)
+    SELECT page_id, payload_bytes,
+      array_to_string(list_transform(fives, lambda f: array_to_string(list_transform([15, 10, 5, 0],
+        lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((f >> s) & 31) + 1, 1)), '')), '') AS payload_digest,
+      CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN top END AS refers_to FROM dealt"""
+
+
+ORACLES: dict[str, str] = {"op2_url_filters": _url_filters(), "op10_chat_formatting": _CHATS, "op11_conversation_prefix_trie": _prefix_trie(), "op12_warc": _WARC}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouch.llm import bpe, embeddings, language, packing, prefixes, quality, sharding, simhash, suffixes, tool_calls, urls
+from vouch.llm import alignment, bpe, embeddings, language, packing, prefixes, quality, sharding, simhash, suffixes, tool_calls, urls, warc
 from vouch.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,7 @@ URL_RULES = [
 ]
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BPE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -39,6 +40,11 @@ def vocabulary(path: str = BPE_TOKENIZER) -> str:
         return file.read()
 
 
+def piece_model(path: str = PIECE_MODEL) -> bytes:
+    with open(path, "rb") as file:
+        return file.read()
+
+
 @query("op1_embedding_near_dedup")
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
@@ -97,3 +103,13 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_conversation_prefix_trie")
 def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.prefix_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+@query("op12_warc")
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_digests(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@query("op13_cross_tokenizer_alignment")
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_scores(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary(), piece_model())
