@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-import hashlib
-import os
-import re
-import sys
 import zlib
-from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import combinations
-from types import ModuleType
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vouch.llm import stretches
 from vouch.sources.staging import settle
 
 CAPACITY = 1024
@@ -26,62 +22,6 @@ END = 2
 BLOCK = 16_384
 #: Passes of the search over the bins of a block.
 PASSES = 4
-#: Texts that are encoded together, and encoded stretches that a worker process remembers.
-TEXTS, REMEMBERED = 512, 1_000_000
-
-#: A blank after anything but white space always starts a new stretch of tokens.
-_BLANK = re.compile(r"(?<=\S) ")
-#: Without these all blanks do: white space before a blank, or one at the start.
-_UNUSUAL = re.compile(r"\s |\A ")
-
-
-class Encoder:
-    """Ids of whole texts by a tokenizer of the ``tokenizers`` library, as bytes of 32-bit numbers.
-
-    Byte-level tokenizers with the usual pattern never let a token reach over a blank that
-    follows something other than white space, so each stretch up to such a blank is encoded
-    once and remembered.
-    """
-
-    def __init__(self, vocabulary: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.known: dict[str, bytes] = {}  # by what follows the blank
-
-    @classmethod
-    def of_process(cls, vocabulary: str) -> Encoder:
-        """The encoder of this worker process: tasks that run in it one after another share it."""
-        shared = sys.modules.setdefault("vouch_llm_encoders", ModuleType("vouch_llm_encoders")).__dict__
-        key = hashlib.md5(vocabulary.encode()).hexdigest()
-        if key not in shared:
-            shared[key] = cls(vocabulary)
-        return shared[key]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        split = [self._stretches(text) for text in texts]
-        missing = [*set().union(*[parts[1:] for parts in split]).difference(self.known)]
-        for part, ids in zip(missing, self._encoded([" " + part for part in missing]), strict=True):
-            self.known[part] = ids
-        starts = self._encoded([parts[0] for parts in split])
-        get = self.known.__getitem__
-        return [start + b"".join(map(get, parts[1:])) for start, parts in zip(starts, split, strict=True)]
-
-    @staticmethod
-    def _stretches(text: str) -> list[str]:
-        """The text up to the first blank that starts a stretch, and what follows each such blank."""
-        return _BLANK.split(text) if _UNUSUAL.search(text) else text.split(" ")
-
-    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
-        little = sys.byteorder == "little"
-        for encoding in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            ids = array("I", encoding.ids)
-            if not little:
-                ids.byteswap()
-            yield ids.tobytes()
 
 
 def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -101,20 +41,27 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
     types = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
     last = np.array([end], "<u4").tobytes()
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder.of_process(vocabulary)
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = None
         for batch in batches:
-            for k in range(0, len(batch), TEXTS):
-                some, rows = batch.iloc[k : k + TEXTS], []
-                encoded = encoder.encode([t or "" for t in some["text"]])
-                for doc_id, ids in zip(some["doc_id"], encoded, strict=True):
-                    ids += last
-                    for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                        own = ids[4 * start : 4 * (start + length)]
-                        rows.append((doc_id, piece, start, length, zlib.crc32(own), *[own] * with_ids))
-                yield pd.DataFrame(rows, columns=columns)
-
-    return docs.select("doc_id", "text").mapInPandas(pieces, types)
+            encoder = encoder or stretches.Encoder(vocabulary)
+            for start, stop in stretches.slices(batch.column(1)):
+                doc_ids, texts = (batch.column(i).slice(start, stop - start) for i in (0, 1))
+                distinct, codes, ends = stretches.cut(texts)
+                ids = encoder.encode(distinct).take(codes)
+                data = ids.values.astype("<u4", copy=False).tobytes()
+                bounds = 4 * np.concatenate([[0], np.cumsum(ids.lengths)[ends - 1]])
+                rows = []
+                for k in range(len(ends)):
+                    own = data[bounds[k] : bounds[k + 1]] + last
+                    for piece, (at, length) in enumerate(cut(len(own) // 4, capacity)):
+                        part = own[4 * at : 4 * (at + length)]
+                        rows.append((k, piece, at, length, zlib.crc32(part), *[part] * with_ids))
+                which, numbers, starts, lengths, sums, *parts = zip(*rows, strict=True)
+                arrays = [doc_ids.take(pa.array(which)), pa.array(numbers, pa.int32()), *[pa.array(v, pa.int64()) for v in (starts, lengths, sums)]]
+                yield pa.RecordBatch.from_arrays([*arrays, *[pa.array(p, pa.binary()) for p in parts]], names=columns)
+
+    return docs.select("doc_id", "text").mapInArrow(pieces, types)
 
 
 def best_fit(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
