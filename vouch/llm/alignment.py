@@ -18,7 +18,9 @@ from vouch.sources.staging import new_folder
 
 KINDS = ("overlap", "end", "group")
 #: Bytes whose incidence matrices are multiplied at once; they are cut where tokens of both sides end.
-WINDOW = 1 << 21
+WINDOW = 1 << 20
+#: Distinct stretches that are aligned at once.
+STRETCHES = 1 << 15
 #: What a blank is called in the pieces of the second tokenizer.
 MARK = "▁"
 
@@ -162,7 +164,16 @@ class Aligner:
             valid &= [b"".join(pieces[x:y]) == e for x, y, e in zip(spans.starts.tolist(), stops.tolist(), encoded, strict=True)]
         return a, b, valid
 
-    def align(self, stretches: list[str]) -> Aligned:
+    def align(self, stretches: list[str], at_once: int = STRETCHES) -> Aligned:
+        """The stretches aligned, a bounded number of them at a time."""
+        parts = [self._align(stretches[i : i + at_once]) for i in range(0, len(stretches), at_once)]
+        if len(parts) == 1:
+            return parts[0]
+        columns = [np.concatenate([getattr(p, n) for p in parts]) for n in ("valid", "n_a", "n_b", "n_groups")]
+        pairs = Lists(*(np.concatenate([getattr(p.pairs, n) for p in parts]) for n in ("values", "lengths")))
+        return Aligned(*columns, [text for p in parts for text in p.texts], pairs)
+
+    def _align(self, stretches: list[str]) -> Aligned:
         a, b, valid = self.encode(stretches)
         keep = np.flatnonzero(valid)
         a, b = a.take(keep), b.take(keep)
