@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(QUERIES)
 
 

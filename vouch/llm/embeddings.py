@@ -235,7 +235,7 @@ def search(placed: DataFrame, graph: Graph = DEFAULT) -> DataFrame:
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         if len(rows) < 2:
-            return pd.DataFrame({"rep": [], "edges": []})
+            return pd.DataFrame({"rep": rows["rep"][:0], "edges": pd.Series([], dtype=object)})
         rows = rows.sort_values("rep", ignore_index=True)
         reps = rows["rep"].to_numpy()
         edges = robust_prune(normed(rows["vector"]).astype(np.float32), graph)
@@ -267,7 +267,7 @@ def search(placed: DataFrame, graph: Graph = DEFAULT) -> DataFrame:
         for q, v in range_search(exact.astype(np.float32), edges, graph):
             close = np.einsum("pd,pd->p", exact[q], exact[v]) >= graph.threshold
             found.append(np.minimum(q, v)[close] * len(rows) + np.maximum(q, v)[close])
-        pairs = np.unique(np.concatenate(found))
+        pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *found]))
         a, b = pairs // len(rows), pairs % len(rows)
         linked[a] = linked[b] = True
         for i, j in zip(a.tolist(), b.tolist(), strict=True):
@@ -282,7 +282,7 @@ def search(placed: DataFrame, graph: Graph = DEFAULT) -> DataFrame:
             counted[p] &= first == key[0]
         np.add.at(total, a[counted], weight[b[counted]])
         np.add.at(total, b[counted], weight[a[counted]])
-        top = [reps[root(i)] for i in np.flatnonzero(linked).tolist()]
+        top = reps[[root(i) for i in np.flatnonzero(linked).tolist()]] if linked.any() else reps[:0]
         return pd.DataFrame({"rep": reps[linked], "links": total[linked], "root": top})
 
     joined = tasks.join(united, "rep", "left")

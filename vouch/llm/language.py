@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -158,14 +159,15 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     """
     prototypes = learn(docs, dimensions)
 
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores = classify(batch["text"], prototypes, dimensions)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "lang_pred": langs, "score": scores})
+            langs, scores = classify(batch.column(2).to_pandas(), prototypes, dimensions)
+            found = [batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(found, names=["doc_id", "held_out", "lang_pred", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     marked = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return marked.mapInPandas(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return marked.mapInArrow(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
 def keep_known(docs: DataFrame, min_score: float = MIN_SCORE, dimensions: int = DIMENSIONS) -> DataFrame:
@@ -175,10 +177,13 @@ def keep_known(docs: DataFrame, min_score: float = MIN_SCORE, dimensions: int =
     """
     prototypes = learn(docs, dimensions)
 
-    def known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    at = docs.columns.index("text")
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores = classify(batch["text"], prototypes, dimensions)
-            good = (np.array(langs) != UNKNOWN) & (np.array(scores) >= min_score)
-            yield batch[good]
+            langs, scores = classify(batch.column(at).to_pandas(), prototypes, dimensions)
+            good = (np.array(langs, object) != UNKNOWN) & (np.array(scores, float) >= min_score)
+            yield batch.filter(pa.array(good))
 
-    return docs.mapInPandas(known, docs.schema)
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return numbered.mapInArrow(known, numbered.schema).toDF(*docs.columns)

@@ -67,7 +67,10 @@ _CHATS = """WITH users AS (SELECT conv_id, turn, min(text) AS text FROM conversa
         '{"after":[' || CASE WHEN follows THEN '"' || conv_id || ':' || (turn - 2) || '"' ELSE '' END || '],"arguments":{"text":' || to_json(text)
         || ',"turn":' || turn || '},"id":"' || conv_id || ':' || place || '","name":"reply","result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}'
       ELSE '{"id":"' || conv_id || ':' || place || '","result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}' END AS json
-    FROM rows_"""
+    FROM rows_
+    UNION ALL SELECT conv_id, NULL, turn, NULL, 'message', true, '',
+      '{"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"role":' || coalesce(to_json(role)::VARCHAR, 'null') || '}'
+    FROM conversations WHERE coalesce(role NOT IN ('user', 'assistant'), true) OR conv_id IS NULL OR turn IS NULL"""
 
 
 def _prefix_trie() -> str:

@@ -148,23 +148,36 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: int = THRESHOLD) -> Dat
     ``labels`` (doc_id, quality) names the trusted documents: quality 1. A document is kept
     unless it breaks a base rule or its ratio is below the threshold. A null or empty text has
     no words and fails. Rows are judged one by one, so repeated rows get equal verdicts and an
-    empty table gives an empty one. Added columns replace those of the same name.
+    empty table gives an empty one. Added columns replace those of the same name, all others
+    stay as they are, whatever they are called.
     """
     weights = fit(docs, labels.where(F.col("quality") == 1))
-    return (
-        base_counts(docs)
+    judged = (
+        base_counts(_packed(docs))
         .withColumn("llr", likelihood_ratio(F.col("words"), weights))
         .drop("words")
         .withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
         .withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
     )
+    added = [c for c in judged.columns if c not in ("text", "__rest")]
+    return judged.select(*_unpacked(docs, [c for c in docs.columns if c not in added]), *added)
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """The text, and all other columns in one, where their names meet none of ours."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select("text", F.struct(*rest, F.lit(None).cast("int").alias("__none")).alias("__rest"))
+
+
+def _unpacked(docs: DataFrame, names: list[str]) -> list[Column]:
+    return [F.col("text") if c == "text" else F.col("__rest").getField(c).alias(c) for c in names]
 
 
 def keep(docs: DataFrame, labels: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The documents that pass, with their columns as they were."""
+    """The documents that pass, with their columns as they were, whatever these are called."""
     weights = fit(docs, labels.where(F.col("quality") == 1))
-    listed = with_repeated_words(docs.withColumn("words", words(F.col("text"))))
+    listed = with_repeated_words(_packed(docs).withColumn("words", words(F.col("text"))))
     good = ~base_failed(F.size("words"), F.col("n_repeat_words")) & (likelihood_ratio(F.col("words"), weights) >= threshold)
     # always true, but not for Spark to know: else it moves the filter below the steps and repeats them
     steps_first = F.monotonically_increasing_id() >= 0
-    return listed.withColumn("__kept", good & steps_first).where("__kept").select(*docs.columns)
+    return listed.withColumn("__kept", good & steps_first).where("__kept").select(*_unpacked(docs, docs.columns))

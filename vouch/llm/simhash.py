@@ -7,12 +7,13 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vouch.llm.components import connected_components
-from vouch.sources.staging import settle
+from vouch.sources.staging import new_folder, settle
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -50,13 +51,13 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fingerprint as a signed number), a row per row; a text is read once, whole."""
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.fromiter((fingerprint(t, shingle) for t in batch["text"]), np.uint64, len(batch))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fingerprint": values.view(np.int64)})
+            values = np.fromiter((fingerprint(t, shingle) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["doc_id", "fingerprint"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(each, f"doc_id {kind}, fingerprint bigint")
+    return docs.select("doc_id", "text").mapInArrow(each, f"doc_id {kind}, fingerprint bigint")
 
 
 def embed(value: Column) -> Column:
@@ -129,7 +130,9 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
 
     Groups are formed by fingerprints alone, so every group keeps a row, whatever its doc_ids:
     one with a null doc_id where all are null, and a doc_id of unrelated texts once for each
-    group in which it is the smallest. Of rows alike in doc_id and fingerprint one stays.
+    group in which it is the smallest. Of rows alike in doc_id and fingerprint one stays. All columns
+    are carried as they are, whatever their names and types. Documents are kept in the shared
+    folder with their fingerprints, so texts are hashed once; survivors are chosen by row numbers.
     """
 
     @F.pandas_udf("bigint")
@@ -137,15 +140,16 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
         values = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
         return pd.Series(values.view(np.int64))
 
-    found = settle(fingerprints(docs, shingle))
+    path = new_folder(docs.sparkSession)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    docs.select(whole, hashed("text").alias("fingerprint"), F.monotonically_increasing_id().alias("row")).write.parquet(path)
+    stored = docs.sparkSession.read.parquet(path)
+    found = stored.groupBy("fingerprint", F.col("doc.doc_id").alias("doc_id")).agg(F.min("row").alias("row"))
     # null doc_ids come last, and the smallest fingerprint decides between classes of one doc_id
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fingerprint")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fingerprint", "row")
     classes = settle(found.groupBy("fingerprint").agg(F.min(order).alias("first")))
     points = classes.select("fingerprint", F.col("fingerprint").alias("rep"))
     named = connected_components(near_links(points, max_bits))
     grouped = classes.join(named, F.col("fingerprint") == F.col("id"), "left")
     firsts = grouped.groupBy(F.coalesce("component", "fingerprint")).agg(F.min("first").alias("first"))
-    kept = firsts.select(F.col("first.doc_id").alias("__id"), F.col("first.fingerprint").alias("__first"))
-    marked = docs.withColumn("__fingerprint", hashed("text"))
-    same = (F.col("__fingerprint") == F.col("__first")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__fingerprint"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return stored.join(firsts.select("first.row"), "row", "left_semi").select("doc.*")

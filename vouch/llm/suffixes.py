@@ -31,7 +31,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vouch.llm.frames import partitions
-from vouch.sources.staging import new_folder
+from vouch.llm.skew import lookup
+from vouch.sources.staging import new_folder, settle
 
 LEAST = 50
 GRAM = 20
@@ -43,6 +44,8 @@ FLUSH = 1 << 19
 PARTS = 4
 #: A name with more different surroundings than this in what a task sends at once is ranked by its strings.
 HOT = 16
+#: Places of a repeated doc_id: the number of the text above, the byte in it below this many bits.
+TEXT_BITS = 32
 #: Stands for a null doc_id, which comes after all others.
 LAST = (1 << 63) - 1
 
@@ -96,11 +99,13 @@ def merged(docs: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> pd.DataFr
         return pd.DataFrame({"doc": docs, "start": starts, "stop": stops})
     order = np.lexsort((starts, docs))
     docs, starts, stops = docs[order], starts[order], stops[order]
-    new = np.concatenate(([True], docs[1:] != docs[:-1]))
-    # the furthest stop so far within a document, by way of ranks that grow with the document
+    text = starts >> TEXT_BITS
+    new = np.concatenate(([True], (docs[1:] != docs[:-1]) | (text[1:] != text[:-1])))
+    # the furthest stop so far within a text, by way of ranks that grow with the text
     group = np.cumsum(new) - 1
-    reach = np.maximum.accumulate(stops + group * (int(stops.max()) + 1)) - group * (int(stops.max()) + 1)
-    new[1:] |= starts[1:] > reach[:-1]
+    inside, ranks = stops - (text << TEXT_BITS), group << TEXT_BITS
+    reach = np.maximum.accumulate(inside + ranks) - ranks
+    new[1:] |= starts[1:] > (reach + (text << TEXT_BITS))[:-1]
     at = np.flatnonzero(new)
     return pd.DataFrame({"doc": docs[at], "start": starts[at], "stop": np.maximum.reduceat(stops, at)})
 
@@ -150,8 +155,8 @@ def _send(found: list[tuple], parts: int) -> pd.DataFrame:
         np.concatenate((x[~hot], y)) for x, y in zip((name, context, start, length, doc), (name[marks], context[marks], start[marks], 0 * length[marks], doc[marks]), strict=True)
     )
     base = int(doc.min())
-    wide = int(doc.max()) - base >= 1 << 32
-    kinds = ("<u8", "<u8", "<u8" if wide else "<u4", "<u4", "u1")
+    wide = max(int(doc.max()) - base, int(start.max())) >= 1 << 32
+    kinds = ("<u8", "<u8", *["<u8" if wide else "<u4"] * 2, "u1")
     part = (name % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     edges = np.searchsorted(part[order], np.arange(parts + 1))
@@ -198,7 +203,7 @@ def _ranked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 name = None if row.contexts is None else np.frombuffer(row.contexts, "<i8")
                 yield pd.DataFrame({"doc": doc, "start": start, "stop": stop, "name": name})
                 continue
-            kinds = ("<u8", "<u8", "<u8" if row.wide else "<u4", "<u4", "u1")
+            kinds = ("<u8", "<u8", *["<u8" if row.wide else "<u4"] * 2, "u1")
             sent = (row.names, row.contexts, row.docs, row.starts, row.lengths)
             values = [_unpacked(x, k) for x, k in zip(sent, kinds, strict=True)]
             values[2] = values[2].astype(np.int64) + row.base
@@ -257,10 +262,12 @@ def _strings(parts: int):
     return send
 
 
-def _based(docs: DataFrame) -> DataFrame:
-    """The documents with ``doc`` and ``base``: where the text starts among all of its doc_id.
+def _based(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """The documents with ``doc`` and ``base``, and whether a doc_id repeats.
 
-    Only texts of a repeated doc_id start elsewhere than at 0; equal ones start together. The
+    ``base`` is where places in a text begin. A text is 0 but for those of a repeated doc_id, whose distinct
+    texts get numbers of their own, as do places in them: however many texts a doc_id has, null
+    included, each is handled as a text, and the doc_id serves for comparison alone. The
     strings of rows of one doc_id are no reason to remove each other.
     """
     marked = docs.withColumns(
@@ -271,16 +278,23 @@ def _based(docs: DataFrame) -> DataFrame:
     )
     repeated = marked.groupBy("doc").count().where("count > 1").select("doc")
     if repeated.isEmpty():
-        return marked.withColumn("base", F.lit(0).cast("bigint"))
-    before = Window.partitionBy("of").orderBy("own").rowsBetween(Window.unboundedPreceding, -1)
-    texts = marked.join(repeated, "doc", "left_semi").select(F.col("doc").alias("of"), F.col("octets").alias("own")).distinct()
-    length = F.octet_length("own").cast("bigint")
-    bases = texts.select("of", "own", F.coalesce(F.sum(length).over(before), F.lit(0)).alias("base"))
-    joined = marked.join(bases, (F.col("doc") == F.col("of")) & (F.col("octets") == F.col("own")), "left")
-    return joined.drop("of", "own").withColumn("base", F.coalesce("base", F.lit(0).cast("bigint")))
-
-
-def repeated_spans(based: DataFrame) -> DataFrame:
+        return marked.withColumn("base", F.lit(0).cast("bigint")), False
+    marked = marked.withColumn("digest", F.sha2("octets", 256))
+    texts = marked.select("doc", "digest").join(repeated, "doc", "left_semi").groupBy("doc", "digest").agg(F.count("*").alias("copies"))
+    texts = settle(texts.withColumn("row", F.monotonically_increasing_id()))
+    task, inside = F.shiftright("row", 33), F.col("row").bitwiseAND(F.lit((1 << 33) - 1))
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # over a row per task
+    tasks = texts.groupBy(task.alias("task")).agg(F.count("*").alias("n"))
+    first = tasks.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    numbered = texts.withColumn("task", task).join(F.broadcast(first), "task")
+    base = F.shiftleft(F.col("first") + inside + 1, TEXT_BITS)
+    bases = settle(numbered.select("doc", "digest", "copies", base.alias("base")))
+    total = bases.agg(F.sum("copies")).first()[0]
+    joined = lookup(marked, bases, ["doc", "digest"], F.col("copies"), total).drop("digest", "copies")
+    return joined.withColumn("base", F.coalesce("base", F.lit(0).cast("bigint"))), True
+
+
+def repeated_spans(based: DataFrame, repeats: bool) -> DataFrame:
     """(doc, start, stop): all bytes of strings that also start in a document of smaller doc_id.
 
     Positions go to the parts by name; copies within a task are settled there and only the
@@ -289,6 +303,9 @@ def repeated_spans(based: DataFrame) -> DataFrame:
     """
     spark = based.sparkSession
     texts = based.select("doc", "base", "octets")
+    if repeats:
+        alike = texts.where("base > 0").groupBy("doc", "base").agg(F.first("octets").alias("octets"))
+        texts = texts.where("base = 0").unionByName(alike)
     parts = PARTS * partitions(spark)
     sent = texts.mapInPandas(_positions(parts), _SENT)
     folder = new_folder(spark)
@@ -296,8 +313,8 @@ def repeated_spans(based: DataFrame) -> DataFrame:
     ranked = spark.read.schema(_RANKED).parquet(folder)
     known = ranked.where("name is null").select("doc", "start", "stop")
     still = ranked.where("name is not null")
-    # of two rows of one doc_id, the one that the stretch lies in
-    within = still.join(texts, "doc").where("start >= base and stop <= base + octet_length(octets)")
+    within = still.join(texts.withColumn("text", _text_of("base")), (still["doc"] == texts["doc"]) & (_text_of("start") == F.col("text")))
+    within = within.drop(texts["doc"])
     place, length = F.col("start") - F.col("base") + 1, F.col("stop") - F.col("start")
     own = F.substring("octets", place.cast("int"), length.cast("int"))
     fetched = within.select("doc", "start", own.alias("octets")).mapInPandas(_strings(parts), _SENT)
@@ -305,10 +322,16 @@ def repeated_spans(based: DataFrame) -> DataFrame:
     return known.unionAll(again.select("doc", "start", "stop"))
 
 
+def _text_of(place: str) -> Column:
+    """The number of the text that a place is in: 0 unless its doc_id has several."""
+    return F.shiftright(place, TEXT_BITS)
+
+
 def _with_spans(docs: DataFrame) -> DataFrame:
-    based = _based(docs)
-    spans = repeated_spans(based).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    return based.join(spans, "doc", "left")
+    """The documents with the spans of their text, which are no more than its bytes allow."""
+    based, repeats = _based(docs)
+    spans = repeated_spans(based, repeats).groupBy("doc", _text_of("start").alias("of")).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return based.withColumn("of", _text_of("base")).join(spans, ["doc", "of"], "left")
 
 
 def _kept(octets: bytes, base: int, spans: list | None) -> tuple[bytes, int, int]:
@@ -316,8 +339,6 @@ def _kept(octets: bytes, base: int, spans: list | None) -> tuple[bytes, int, int
     ends = [(s["start"] - base, s["stop"] - base) for s in (spans if spans is not None else ())]
     parts, at, runs, stop = [], 0, 0, -1
     for a, b in sorted(ends):
-        if a < 0 or b > len(octets):
-            continue  # of another text of the same doc_id
         if a > stop:
             parts.append(octets[at:a])
             runs += 1
@@ -337,15 +358,15 @@ def digests(docs: DataFrame) -> DataFrame:
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc, base, octets, spans in zip(batch["doc"], batch["base"], batch["octets"], batch["spans"], strict=True):
+            for doc, missing, base, octets, spans in zip(*(batch[c] for c in ("doc", "missing", "base", "octets", "spans")), strict=True):
                 left, removed, runs = _kept(octets, base, spans)
-                rows.append((doc, len(octets), removed, runs, hashlib.sha256(left).hexdigest()))
-            yield pd.DataFrame(rows, columns=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                rows.append((doc, missing, len(octets), removed, runs, hashlib.sha256(left).hexdigest()))
+            yield pd.DataFrame(rows, columns=["doc", "missing", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = _with_spans(docs.select("doc_id", "text")).select("doc", "base", "octets", "spans")
-    found = joined.mapInPandas(each, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
-    kind = docs.schema["doc_id"].dataType
-    return found.select(F.nullif("doc", F.lit(LAST)).cast(kind).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    joined = _with_spans(docs.select("doc_id", "text")).select("doc", F.col("doc_id").isNull().alias("missing"), "base", "octets", "spans")
+    found = joined.mapInPandas(each, "doc bigint, missing boolean, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    doc_id = F.when(~F.col("missing"), F.col("doc")).cast(docs.schema["doc_id"].dataType).alias("doc_id")
+    return found.select(doc_id, "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:

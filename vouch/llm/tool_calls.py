@@ -13,7 +13,7 @@ from vouch.sources.staging import settle
 
 TYPES = {
     "string": lambda v: isinstance(v, str),
-    "integer": lambda v: isinstance(v, int) and not isinstance(v, bool),
+    "integer": lambda v: isinstance(v, int) and not isinstance(v, bool) or isinstance(v, float) and v.is_integer(),
     "number": lambda v: isinstance(v, int | float) and not isinstance(v, bool),
     "boolean": lambda v: isinstance(v, bool),
     "array": lambda v: isinstance(v, list),
@@ -22,13 +22,24 @@ TYPES = {
 }
 
 
+def same(a: object, b: object) -> bool:
+    """Whether two values are the same JSON: 1 and 1.0 are, 1 and true are not."""
+    if isinstance(a, bool) or isinstance(b, bool):
+        return a is b
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(same, a, b))
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(same(a[k], b[k]) for k in a)
+    return a == b
+
+
 def faults(value: object, schema: dict, at: str = "") -> list[str]:
     """What a value breaks of a JSON schema: type, enum, required, properties, items, bounds."""
     found = []
     kind = schema.get("type")
     if kind and not TYPES[kind](value):
         return [f"{at or '/'}: not {kind}"]
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(same(value, known) for known in schema["enum"]):
         found.append(f"{at or '/'}: not in enum")
     if isinstance(value, str) and len(value) < schema.get("minLength", 0):
         found.append(f"{at or '/'}: too short")
@@ -92,7 +103,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     Status: ``linked``; ``unanswered`` (no result); ``orphan`` (a result without call);
     ``circular`` (the call waits for itself). Repeated calls or results of an identifier count
     as the first by turn, then by content. Dependencies on unknown calls and arguments that are
-    no JSON object, break the schema or name a tool without one are faults. Rows with a null
+    no JSON object or nested too deep to read, break the schema or name a tool without one are faults. Rows with a null
     conv_id or call_id have no identifier to link by and are left out. Both sides are reduced to
     a row per identifier before the join, so no identifier is a hot key, and no conversation is
     gathered in one task.
@@ -139,7 +150,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
                         arguments = json.loads(row.arguments or "")
                         canonical(arguments)
                         found += faults(arguments, schemas[row.name]) if row.name in schemas else ["/: no schema"]
-                    except ValueError:
+                    except (ValueError, RecursionError):  # RecursionError: nested deeper than can be read
                         found, arguments = [*found, "/: not JSON"], row.arguments
                 call = {"after": list(row.after) if row.after is not None else [], "arguments": arguments, "name": row.name}
                 whole = {"id": row.call_id, "result": row.content, **(call if row.status != "orphan" else {})}
@@ -181,6 +192,30 @@ def from_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
+def messages(conversations: DataFrame) -> DataFrame:
+    """A row, of status ``message``, for each turn that neither asks nor answers, in the columns of ``link``.
+
+    These are turns of other roles than user and assistant, null included, and those without a conv_id
+    or a turn, which nothing can be linked with. They have no call_id and no level.
+    """
+
+    @F.pandas_udf("string")
+    def written(role: pd.Series, text: pd.Series) -> pd.Series:
+        return pd.Series([canonical({"content": t, "role": r}) for r, t in zip(role, text, strict=True)], dtype=object)
+
+    linked = F.col("role").isin("user", "assistant") & F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    return conversations.where(~F.coalesce(linked, F.lit(False))).select(
+        "conv_id",
+        F.lit(None).cast("string").alias("call_id"),
+        "turn",
+        F.lit(None).cast("int").alias("level"),
+        F.lit("message").alias("status"),
+        F.lit(True).alias("valid"),
+        F.array().cast("array<string>").alias("faults"),
+        written("role", "text").alias("json"),
+    )
+
+
 def format_chats(conversations: DataFrame) -> DataFrame:
-    """The calls of all conversations, linked; see ``link`` and ``from_turns``."""
-    return link(*from_turns(conversations), {"reply": REPLY})
+    """The calls of all conversations, linked, and all other turns as messages; see ``link``, ``from_turns``, ``messages``."""
+    return link(*from_turns(conversations), {"reply": REPLY}).unionByName(messages(conversations))
