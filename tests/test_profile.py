@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import ast
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from vouch.operators.profile import profile
+from vouch.operators.profile import column_sketches, merged_estimates, profile
 
 ROWS = [
     (1, 0.5, True, "a", None),
@@ -115,10 +116,69 @@ def test_dates_and_odd_names(spark):
     assert by_name(profile({"t": df}, distinct="approx"))["x.y"].max_value == "1.5"
 
 
-def test_a_column_is_read_on_its_own(spark, tmp_path, table):
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("] parquet")
+
+
+def test_scans_do_not_grow_with_columns(spark, tmp_path):
+    for n in (4, 40):
+        numbers = [(F.col("id") % (i + 2)).alias(f"n{i}") for i in range(n)]
+        texts = [F.col("id").cast("string").alias(f"s{i}") for i in range(n)]
+        spark.range(50).select(*numbers, *texts).write.parquet(str(tmp_path / str(n)))
+        stored = spark.read.parquet(str(tmp_path / str(n)))
+        assert scans(profile({"t": stored}, samples=False)) == 2  # one per type of column
+        assert scans(profile({"t": stored}, distinct="approx")) == 1
+    assert scans(profile({"t": stored}, samples=False, group=10)) == 8
+
+
+def test_any_group_size_gives_equal_rows(spark, table):
+    many = table.select("*", F.col("i").alias("i2"), F.upper("s").alias("s2"), (F.col("d") * 2).alias("d2"), F.col("i").cast("short").alias("h"))
+    whole = sorted(map(repr, profile({"t": many, "u": table}).collect()))
+    for size in (1, 2, 100):
+        assert sorted(map(repr, profile({"t": many, "u": table}, group=size).collect())) == whole
+
+
+def test_decimals_and_large_sums_stay_exact(spark):
+    rows = [("12345678901234567.89", 2**62), ("-0.01", 2**62 + 4), (None, -(2**63)), ("5.00", None)]
+    df = spark.createDataFrame(rows, "d string, n bigint").select(F.col("d").cast("decimal(38,2)").alias("d"), "n")
+    for distinct in ("exact", "approx"):
+        found = by_name(profile({"t": df}, samples=False, distinct=distinct))
+        assert (found["d"].min_value, found["d"].max_value) == ("-0.01", "12345678901234567.89")
+        assert found["n"].mean_value == 1.33  # 4 / 3, of numbers that doubles tell apart by 512 only
+        assert (found["n"].min_value, found["n"].max_value) == (str(-(2**63)), str(2**62 + 4))
+
+
+def test_means_of_whole_numbers_round_half_even(spark):
+    values = {"a": [0] * 199 + [1], "b": [0] * 199 + [3], "c": [0] * 199 + [-1], "d": [-7] * 200}
+    df = spark.createDataFrame(list(zip(*values.values())), list(values))
+    assert {c: r.mean_value for c, r in by_name(profile({"t": df})).items()} == {"a": 0.0, "b": 0.02, "c": 0.0, "d": -7.0}
+
+
+def test_samples_are_the_first_by_hash(spark):
+    df = spark.range(3000).select((F.col("id") % 1000).cast("string").alias("v"), F.lit("x").alias("same")).repartition(7)
+    rows = by_name(profile({"t": df}))
+    first = sorted((str(i) for i in range(1000)), key=lambda v: hashlib.md5(v.encode()).hexdigest())[:3]
+    assert ast.literal_eval(rows["v"].sample_values) == first
+    assert ast.literal_eval(rows["same"].sample_values) == ["x", "x", "x"]
+
+
+def test_samples_need_no_sort_of_a_whole_column(spark, tmp_path, table):
     table.write.parquet(str(tmp_path / "t"))
-    plan = profile({"t": spark.read.parquet(str(tmp_path / "t"))}, samples=False)
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<i:int>" in text
-    assert "ReadSchema: struct<s:string>" in text
-    assert "Expand" not in text
+    plan = profile({"t": spark.read.parquet(str(tmp_path / "t"))})._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "WindowGroupLimit" in plan
+
+
+def test_merged_sketches_equal_one_over_all_rows(spark):
+    df = spark.range(30000).select((F.col("id") * 7919 % 25000).alias("n"), F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("s"))
+    one = column_sketches({"t": df}, "r1")
+    part = F.pmod(F.xxhash64("n", "s"), F.lit(5))
+    merged = None
+    for i in range(5):
+        sketched = column_sketches({"t": df.where(part == i)}, f"p{i}")
+        merged = sketched if merged is None else merged.unionByName(sketched)
+    found, alone = (by_name(merged_estimates(s)) for s in (merged, one))
+    assert {c: r.asDict() for c, r in found.items()} == {c: r.asDict() for c, r in alone.items()}
+    assert abs(found["n"].unique_count - 25000) < 750 and found["s"].null_count == 10000
+    assert by_name(profile({"t": df}, distinct="approx"))["n"].unique_count == alone["n"].unique_count
+    again = by_name(merged_estimates(one.unionByName(one)))
+    assert again["n"].unique_count == alone["n"].unique_count and again["n"].total_count == 60000

@@ -248,6 +248,39 @@ def _profile(*tables: str) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _samples(*tables: str) -> str:
+    """Up to three values in the order of the MD5 of their text, distinct ones before repeated ones."""
+    escaped = r"replace(replace(v, '\', '\\'), chr(10), '\n')"
+    quotes = rf"""CASE WHEN contains(v, '''') AND NOT contains(v, '"') THEN '"' || {escaped} || '"' ELSE '''' || replace({escaped}, '''', '\''') || '''' END"""
+    shown = {"": quotes, "number": "v", "boolean": "CASE v WHEN 'true' THEN 'True' ELSE 'False' END"}
+    listed = "list_concat(list(text ORDER BY number), flatten(list(list_transform(range(1, least(n, 3)), lambda i: text) ORDER BY number)))"
+    parts = []
+    for table in tables:
+        for spec in PROFILED[table]:
+            name, _, kind = spec.partition(":")
+            parts.append(f"""SELECT {_text(table)} AS table_name, {_text(name)} AS column_name,
+                coalesce('[' || array_to_string(list_slice({listed}, 1, 3), ', ') || ']', '[]') AS sample_values
+              FROM (SELECT {shown[kind]} AS text, n, row_number() OVER (ORDER BY md5(v), v) AS number FROM
+                (SELECT cast({name} AS VARCHAR) AS v, count(*) AS n FROM {table} WHERE {name} IS NOT NULL GROUP BY {name}) QUALIFY number <= 3)""")
+    return " UNION ALL ".join(parts)
+
+
+def _approximate(*tables: str) -> str:
+    """The columns of an estimated profile: every estimate is to lie within 3 % of the exact count."""
+    return (
+        "SELECT table_name, position, column_name, total_count, null_count, null_pct, is_numeric, min_value, max_value, mean_value, "
+        f"unique_count AS exact_count, true AS within_3_pct FROM ({_profile(*tables)})"
+    )
+
+
+def _merged(*tables: str) -> str:
+    """Sketches of two runs over the same tables: twice the rows, the distinct values of one."""
+    return (
+        "SELECT table_name, column_name, 2 * total_count AS total_count, 2 * null_count AS null_count, "
+        f"true AS as_one FROM ({_profile(*tables)})"
+    )
+
+
 # --- reconciliation
 
 
@@ -372,6 +405,9 @@ def oracle_sql() -> dict[str, str]:
         "downstream_impact_raw": _with_results("SELECT * FROM impact", RAW_RULES, RAW_REPORTS),
         "profile_all": _with_views(_profile(*DIRTY_VIEWS)),
         "profile_raw": _profile("lineitem", "supplier"),
+        "profile_sample": _with_views(_samples(*DIRTY_VIEWS)),
+        "profile_approx": _with_views(_approximate(*DIRTY_VIEWS)),
+        "profile_sketches": _merged("lineitem", "supplier"),
         "profile_null_rank": _with_views(f"SELECT column_name, null_pct FROM ({_profile('patients')})"),
         "profile_uniqueness_rank": _with_views(
             f"SELECT column_name, uniqueness_pct FROM ({_profile('patients')})"

@@ -15,7 +15,7 @@ from vouch.operators import marts
 from vouch.operators.audit import audit_log
 from vouch.operators.evaluate import evaluate
 from vouch.operators.impact import downstream_impact, trigger_tables
-from vouch.operators.profile import profile
+from vouch.operators.profile import column_sketches, merged_estimates, profile
 from vouch.operators.reconcile import count_records, reconcile
 from vouch.operators.runs import new_runs, run_record, run_summary
 from vouch.operators.score import score, total_issues, weight
@@ -294,6 +294,35 @@ def profile_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(raw(spark, sf_dir, "lineitem", "supplier"), samples=False)
 
 
+@query("profile_approx")
+def profile_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An estimated profile beside exact counts, and whether the two agree."""
+    folder = new_folder(spark)
+    try:
+        staged = stage(dirty(spark, sf_dir), folder)
+        exact = profile(staged, samples=False).select("table_name", "position", F.col("unique_count").alias("exact_count"))
+        near = F.abs(F.col("unique_count") - F.col("exact_count")) <= 0.03 * F.col("exact_count")
+        both = profile(staged, distinct="approx").join(exact, ["table_name", "position"]).withColumn("within_3_pct", near)
+        return settle(both.drop("unique_count", "uniqueness_pct"))
+    finally:
+        remove(spark, folder)
+
+
+@query("profile_sketches")
+def profile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of two runs, one of them by halves, merged: the estimates are those of one sketch over all rows."""
+    tables = raw(spark, sf_dir, "lineitem", "supplier")
+    whole = settle(column_sketches(tables, RUN_1.run_id))
+    parts = whole
+    for half in (0, 1):
+        dealt = {"lineitem": F.pmod("l_orderkey", F.lit(2)), "supplier": F.pmod("s_suppkey", F.lit(2))}
+        parts = parts.unionByName(column_sketches({n: tables[n].where(dealt[n] == half) for n in tables}, RUN_2.run_id))
+    alone = merged_estimates(whole).select("table_name", "column_name", F.col("unique_count").alias("alone"))
+    same = (F.col("unique_count") == F.col("alone")).alias("as_one")
+    both = merged_estimates(parts).join(alone, ["table_name", "column_name"])
+    return both.select("table_name", "column_name", "total_count", "null_count", same)
+
+
 @query("profile_null_rank")
 def profile_null_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.profile_null_rank(_staged_profile(spark, sf_dir, "patients"), "patients")
