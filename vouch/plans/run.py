@@ -17,7 +17,7 @@ from vouch.operators.score import score
 from vouch.plans.context import RunContext
 from vouch.plans.reports import HEALTHCARE_REPORTS, Report
 from vouch.plans.rules import HEALTHCARE_RULES, Rule, registry_frame
-from vouch.sources.sinks import load_governance, record_run
+from vouch.sources.sinks import load_governance
 from vouch.sources.staging import new_folder, remove, settle, stage
 
 
@@ -72,13 +72,13 @@ def write_governance(
 ) -> None:
     """Load the frames of a run into the governance tables under ``path``.
 
-    The run record comes last: a run listed in ``dq_runs`` has all its tables loaded. Its notes
-    name the rules that could not be checked, which count as passed.
+    The tables and the run record become visible together: every run that a view shows is listed in
+    ``dq_runs`` and has all its tables. The record's notes name the rules that could not be checked,
+    which count as passed.
     """
-    load_governance(frames, path, ctx.run_id, keep_history)
     results = frames["dq_results"]
     registry_frame(results.sparkSession, rules, ctx).write.mode("overwrite").parquet(
         f"{path}/dq_rule_registry"
     )
     notes = "; ".join(f"{e.rule_id} not checked: {e.message}" for e in errors) or None
-    record_run(run_record(results, notes=notes), path)
+    load_governance(frames, path, ctx.run_id, keep_history, run_record(results, notes=notes))

@@ -217,6 +217,7 @@ PROFILED = {
         "l_quantity:number", "l_extendedprice:number", "l_discount:number", "l_tax:number",
         "l_returnflag", "l_linestatus", "l_shipdate",
     ),
+    "nation": ("n_nationkey:number", "n_name", "n_regionkey:number"),
     "supplier": ("s_suppkey:number", "s_name", "s_nationkey:number", "s_acctbal:number"),
 }
 
@@ -347,6 +348,14 @@ CATEGORIES = ("Completeness", "Validity", "Uniqueness", "Referential")
 HEATMAP_CATEGORIES = (*CATEGORIES, "Consistency", "Timeliness")
 
 
+#: Columns of the frames that derive from rule results, which stay when these are empty.
+DERIVED_COLUMNS = {
+    "scores": "run_id,table_name,total_rules,passed_rules,failed_rules,dq_score,grade,run_time",
+    "audit": "run_id,log_id,event_time,table_name,rule_id,event_type,severity,description,records_affected,action_taken,resolved",
+    "impact": "run_id,report,owner,refresh_cadence,criticality,affected_tables,total_issues,impact_level,run_time",
+}
+
+
 def _share(broken: str) -> str:
     return f"(CASE WHEN count(*) FILTER (WHERE {broken}) > 0 THEN 0.0 ELSE 100.0 END)::DOUBLE"
 
@@ -518,6 +527,25 @@ def oracle_sql() -> dict[str, str]:
             FROM customer WHERE c_acctbal < 0 HAVING count(*) > 0""",
         "gov_run_id_text": f"{_stored('007', False)} UNION ALL {_stored('a/b', True)}",
         "gov_replace_runs": _stored("a/b", True),
+        "gov_uncommitted_run": f"SELECT *, true AS listed FROM ({_stored('007', False)})",
+        "gov_data_profile": (
+            f"SELECT p.* EXCLUDE (position), sample_values FROM ({_profile('supplier', 'nation')}) p "
+            f"JOIN ({_samples('supplier', 'nation')}) s ON p.table_name = s.table_name AND p.column_name = s.column_name"
+        ),
+        "gov_reconciliation": _with_views(f"SELECT '2026-01-01 00:00:00' AS run_time, * FROM ({_reconciliation(SOURCE_COUNTS)})"),
+        "gov_downstream_impact": _with_results("SELECT '2026-01-01 00:00:00' AS run_time, * FROM impact"),
+        "gov_audit_log": _with_results("SELECT *, '2026-01-01 00:00:00' AS event_time FROM audit"),
+        "written_results": _with_results(
+            "SELECT table_name, rule_id, description, failed_records, status, file FROM results, (VALUES ('csv'), ('parquet')) v(file)", RAW_RULES
+        ),
+        "empty_results": _with_results(
+            f"""SELECT results, derived, columns, CASE WHEN results = 'passed' AND derived = 'scores' THEN scored ELSE 0 END AS n_rows
+            FROM (VALUES ('scores', '{DERIVED_COLUMNS["scores"]}'), ('audit', '{DERIVED_COLUMNS["audit"]}'), ('impact', '{DERIVED_COLUMNS["impact"]}')) d(derived, columns),
+              (VALUES ('passed'), ('none')) r(results),
+              (SELECT count(DISTINCT table_name) AS scored FROM results WHERE status = 'PASS')""",
+            RAW_RULES,
+            RAW_REPORTS,
+        ),
         "issues_by_table_severity": _with_results(
             "SELECT table_name, severity, cast(sum(failed_records) AS BIGINT) AS failed_records "
             "FROM chosen WHERE status = 'FAIL' GROUP BY table_name, severity"

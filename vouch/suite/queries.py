@@ -6,11 +6,13 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vouch.functions.checks import References, Unique
+from vouch.functions.frames import union_all
 from vouch.operators import marts
 from vouch.operators.audit import audit_log
 from vouch.operators.evaluate import evaluate
@@ -24,7 +26,7 @@ from vouch.plans.reports import HEALTHCARE_REPORTS, report_frame
 from vouch.plans.rules import HEALTHCARE_RULES, registry_frame, rules_for
 from vouch.sources.load import load_tables
 from vouch.sources.schemas import HEALTHCARE_SCHEMAS
-from vouch.sources.sinks import governance_frame, load_governance, read_governance
+from vouch.sources.sinks import governance_frame, load_governance, read_governance, write_results
 from vouch.sources.staging import new_folder, remove, settle, stage
 from vouch.suite import fixtures
 from vouch.suite.fixtures import AS_OF, CONTEXT, RAW_REPORTS, RAW_RULES, RAW_TABLES, dirty, from_sql, raw
@@ -563,6 +565,81 @@ def gov_replace_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, False, lambda f: read_governance(spark, f, "dq_results").select(*columns))
 
 
+@query("gov_uncommitted_run")
+def gov_uncommitted_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see of a run that stopped after its first table: the run before it alone."""
+    folder = new_folder(spark)
+    tables = raw(spark, sf_dir, "orders", "customer")
+    try:
+        for run, rules in ((FIRST_RUN, fixtures.STORED_RULES), (SECOND_RUN, fixtures.MENDED_RULES)):
+            results = settle(evaluate(tables, rules, run))
+            audit = audit_log(results, rules)
+            if run is SECOND_RUN:
+                audit = audit.withColumn("severity", F.raise_error(F.lit("stopped")).cast("string"))
+            try:
+                load_governance({"dq_results": results, "audit_log": audit}, folder, run.run_id, record=run_record(results))
+            except SparkRuntimeException:
+                if run is not SECOND_RUN:
+                    raise
+        listed = read_governance(spark, folder, "dq_runs").select("run_id", F.lit(True).alias("listed"))
+        newest = read_governance(spark, folder, "dq_results", newest=True).select("run_id", "rule_id", "status", "failed_records")
+        return settle(newest.join(listed, "run_id", "left"))
+    finally:
+        remove(spark, folder)
+
+
+@query("gov_data_profile")
+def gov_data_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return governance_frame("data_profile", profile(raw(spark, sf_dir, "supplier", "nation")))
+
+
+@query("gov_reconciliation")
+def gov_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _time_text(governance_frame("reconciliation", _reconciled(spark, sf_dir)))
+
+
+@query("gov_downstream_impact")
+def gov_downstream_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _time_text(governance_frame("downstream_impact", _impact(spark, sf_dir)))
+
+
+@query("gov_audit_log")
+def gov_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _time_text(governance_frame("audit_log", _audit(spark, sf_dir)), "event_time")
+
+
+@query("written_results")
+def written_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result files written twice, read back as text and as typed columns."""
+    folder = new_folder(spark)
+    results = settle(_raw_results(spark, sf_dir))
+    try:
+        for file_format in ("csv", "parquet"):
+            for _ in range(2):
+                write_results({"dq_results": results}, folder, file_format)
+        text = spark.read.option("header", True).option("escape", '"').csv(f"{folder}/dq_results.csv")
+        typed = spark.read.parquet(f"{folder}/dq_results.parquet")
+        columns = ("table_name", "rule_id", "description", "failed_records", "status")
+        as_text = text.select(*columns).withColumn("failed_records", F.col("failed_records").cast("bigint"))
+        return settle(as_text.withColumn("file", F.lit("csv")).unionByName(typed.select(*columns).withColumn("file", F.lit("parquet"))))
+    finally:
+        remove(spark, folder)
+
+
+@query("empty_results")
+def empty_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What follows from results without a failed rule, and from none at all: the columns stay, the rows go."""
+    results = settle(_raw_results(spark, sf_dir))
+    counts = []
+    for name, kept in (("passed", F.col("status") == "PASS"), ("none", F.lit(False))):
+        some = results.where(kept)
+        frames = {"scores": score(some), "audit": audit_log(some, RAW_RULES), "impact": downstream_impact(some, RAW_REPORTS)}
+        for derived, frame in frames.items():
+            columns = F.lit(",".join(frame.columns)).alias("columns")
+            counts.append(frame.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("results"), F.lit(derived).alias("derived"), columns, "n_rows"))
+    return union_all(counts)
+
+
 @query("dq_heatmap")
 def dq_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.heatmap(_chosen(spark, sf_dir))
