@@ -164,3 +164,9 @@ def test_arguments_by_the_rules_of_json(spark):
     found = {r.call_id: r.faults for r in tool_calls.link(calls, results, schema).collect()}
     assert found == {"a": [], "b": ["/n: not integer"], "c": ["/: not JSON"], "d": []}
     assert tool_calls.same(True, True) and not tool_calls.same(True, 1) and tool_calls.same([1, {"a": 1}], [1.0, {"a": 1}])
+
+
+def test_vectors_without_an_id_link_with_each_other(spark):
+    rows = [(None, [1.0, 0.0]), (None, [1.0, 0.0]), (4, [0.0, 1.0])]
+    found = embeddings.near_duplicates(vectors(spark, rows)).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in found), key=str) == [(4, 0, 4, True), (None, 1, None, True), (None, 1, None, True)]

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,19 +44,20 @@ DEFAULT = Graph()
 def unit_vectors(vectors: DataFrame) -> DataFrame:
     """(vec_id, key, vector): vectors in double precision; key and vector are null for those that link with nothing."""
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, found = [], []
-            for v in batch["embedding"]:
+            for v in batch.column(1).to_pandas():
                 x = np.array([] if v is None else v, dtype=float)
                 good = len(x) > 0 and bool(np.isfinite(x).all()) and bool(x.any())
                 x = x + 0.0  # one zero
                 keys.append(hashlib.sha256(x.tobytes()).digest()[:16] if good else None)
                 found.append(x.tolist() if good else None)
-            yield pd.DataFrame({"vec_id": batch["vec_id"], "key": keys, "vector": found})
+            arrays = [batch.column(0), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["vec_id", "key", "vector"])
 
     kind = vectors.schema["vec_id"].dataType.simpleString()
-    return vectors.select("vec_id", "embedding").mapInPandas(each, f"vec_id {kind}, key binary, vector array<double>")
+    return vectors.select("vec_id", "embedding").mapInArrow(each, f"vec_id {kind}, key binary, vector array<double>")
 
 
 def normed(rows) -> np.ndarray:
@@ -295,15 +297,17 @@ def near_duplicates(vectors: DataFrame, graph: Graph = DEFAULT) -> DataFrame:
     Equal vectors form a class that is placed and searched once; its rows link with each other
     and with every row of a linked class. Null, empty and zero vectors and those with null or
     non-finite components link with nothing and are kept; so is one that stands alone. A null
-    vec_id never stands for others: its component is the smallest vec_id it reaches, or null.
+    vec_id never stands for others: its component is the smallest vec_id it reaches, or null; a
+    vector that only rows with a null vec_id have links among those rows alone.
     """
     found = settle(unit_vectors(vectors))
     classes = found.where("key is not null").groupBy("key").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("vector").alias("vector")
     )
-    classes = settle(classes.where("rep is not null"))
-    count = classes.count()
-    links = settle(search(settle(place(classes.select("rep", "n", "vector"), count, graph)), graph))
+    classes = settle(classes)
+    named_classes = classes.where("rep is not null")
+    count = named_classes.count()
+    links = settle(search(settle(place(named_classes.select("rep", "n", "vector"), count, graph)), graph))
     per_class = links.groupBy("rep").agg(F.sum("links").alias("links"))
     named = connected_components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     keyed = classes.select("key", "rep", "n").join(per_class, "rep", "left").join(named, F.col("rep") == F.col("id"), "left")

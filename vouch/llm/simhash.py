@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vouch.llm.components import connected_components
-from vouch.sources.staging import new_folder, settle
+from vouch.sources.staging import settle
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -131,8 +131,9 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
     Groups are formed by fingerprints alone, so every group keeps a row, whatever its doc_ids:
     one with a null doc_id where all are null, and a doc_id of unrelated texts once for each
     group in which it is the smallest. Of rows alike in doc_id and fingerprint one stays. All columns
-    are carried as they are, whatever their names and types. Documents are kept in the shared
-    folder with their fingerprints, so texts are hashed once; survivors are chosen by row numbers.
+    are carried as they are, whatever their names and types. A text is hashed into its fingerprint
+    once; survivors are then found by the MD5 of their text, and only rows that repeat one are
+    compared with each other again. ``docs`` is read twice.
     """
 
     @F.pandas_udf("bigint")
@@ -140,16 +141,20 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
         values = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
         return pd.Series(values.view(np.int64))
 
-    path = new_folder(docs.sparkSession)
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    docs.select(whole, hashed("text").alias("fingerprint"), F.monotonically_increasing_id().alias("row")).write.parquet(path)
-    stored = docs.sparkSession.read.parquet(path)
-    found = stored.groupBy("fingerprint", F.col("doc.doc_id").alias("doc_id")).agg(F.min("row").alias("row"))
+    key = F.md5(F.coalesce("text", F.lit(""))).alias("key")
+    texts = docs.select("doc_id", key, hashed("text").alias("fingerprint")).groupBy("fingerprint", "doc_id", "key")
+    found = settle(texts.agg(F.count("*").alias("copies")))
     # null doc_ids come last, and the smallest fingerprint decides between classes of one doc_id
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fingerprint", "row")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fingerprint", "key", "copies")
     classes = settle(found.groupBy("fingerprint").agg(F.min(order).alias("first")))
     points = classes.select("fingerprint", F.col("fingerprint").alias("rep"))
     named = connected_components(near_links(points, max_bits))
     grouped = classes.join(named, F.col("fingerprint") == F.col("id"), "left")
-    firsts = grouped.groupBy(F.coalesce("component", "fingerprint")).agg(F.min("first").alias("first"))
-    return stored.join(firsts.select("first.row"), "row", "left_semi").select("doc.*")
+    firsts = settle(grouped.groupBy(F.coalesce("component", "fingerprint")).agg(F.min("first").alias("first")))
+    kept = firsts.select(F.col("first.doc_id").alias("id"), F.col("first.key").alias("kept"), "first.copies")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", key)
+    joined = whole.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("kept")))
+    if kept.where("copies > 1").isEmpty():
+        return joined.select("doc.*")
+    repeated = joined.where("copies > 1").groupBy("doc_id", "key").agg(F.first("doc").alias("doc"))
+    return joined.where("copies = 1").select("doc").unionAll(repeated.select("doc")).select("doc.*")
