@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vouch.llm import language, packing, quality, simhash, suffixes
 from vouch.llm.frames import table
 from vouch.llm.queries import vocabulary
-from vouch.sources.staging import new_folder
+from vouch.sources.staging import new_folder, remove
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +31,8 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The texts as token pieces, packed into sequences."""
-    return packing.pack_documents(docs, vocabulary())
+    """The texts as token pieces with their ids, packed into sequences."""
+    return packing.pack_documents(docs, vocabulary(), with_ids=True)
 
 
 STAGES = [
@@ -49,16 +49,22 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each stage's result written to the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        path = None
         if k + 1 < len(STAGES):
-            docs = written(docs)
+            path = new_folder(spark)
+            docs = written(docs, path)
+        # the next stage's table, or the packed pieces that the last one keeps, stand by themselves
+        if before:
+            remove(spark, before)
+        before = path
     return docs
 
 
-def written(docs: DataFrame) -> DataFrame:
+def written(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The frame as a Parquet table in the shared folder, read again."""
-    path = new_folder(docs.sparkSession)
+    path = path or new_folder(docs.sparkSession)
     docs.write.parquet(path)
     return docs.sparkSession.read.parquet(path)
