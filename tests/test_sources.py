@@ -15,7 +15,7 @@ from vouch.operators.score import score
 from vouch.operators.views import latest_scores, open_critical_issues
 from vouch.plans.run import run_all, write_governance
 from vouch.plans.rules import HEALTHCARE_RULES
-from vouch.sources.load import load_tables
+from vouch.sources.load import MalformedInput, load_checked, load_tables
 from vouch.sources.schemas import GOVERNANCE_COLUMNS, GOVERNANCE_DEFAULTS, HEALTHCARE_SCHEMAS
 from vouch.sources.sinks import load_governance, read_governance, record_run, register_views, write_results
 from vouch.sources.staging import new_folder, remove, settle, shared_folder, stage
@@ -230,3 +230,67 @@ def test_failed_runs_leave_no_copies(spark, ctx, tmp_path, monkeypatch):
 def test_notes_name_unchecked_rules(spark, ctx):
     record = run_record(results_frame(spark, ctx), notes="PAT-001 not checked: no column x")
     assert record.first().notes.startswith("PAT-001")
+
+
+FAULTY = 'a,b,c\n1,x,2\n1,x,2,3\n1,x,2,\n1,"open,2\n"q""q","y,y",3\nshort,1\n\n,"z",\n'
+
+
+def checked(spark, tmp_path, text, **options):
+    folder = tmp_path / "t.csv"
+    folder.mkdir()
+    (folder / "1.csv").write_text(text)
+    (folder / "2.csv").write_text("a,b,c\n5,5,5\n")
+    return load_checked(spark, str(tmp_path), {"t": T.StructType().add("c", T.IntegerType())}, **options)
+
+
+def test_malformed_lines_are_set_apart_and_counted(spark, tmp_path):
+    loaded = checked(spark, tmp_path, FAULTY, max_malformed=3)
+    assert as_set(loaded.tables["t"], "a", "b", "c") == {
+        ("1", "x", 2), ('q"q', "y,y", 3), ("short", "1", None), (None, "z", None), ("5", "5", 5),
+    }
+    assert as_set(loaded.malformed, "table_name", "reason", "line") == {
+        ("t", "surplus_fields", "1,x,2,3"), ("t", "surplus_fields", "1,x,2,"), ("t", "unclosed_quote", '1,"open,2'),
+    }
+    assert all(f.endswith("1.csv") for (f,) in as_set(loaded.malformed, "file"))
+    assert loaded.report.first().asDict() == {
+        "table_name": "t", "loaded_count": 5, "malformed_count": 3, "surplus_fields": 2, "unclosed_quote": 1,
+    }
+
+
+def test_too_many_malformed_lines_end_the_load(spark, tmp_path):
+    with pytest.raises(MalformedInput, match=r"t: 3.*1,x,2"):
+        checked(spark, tmp_path, FAULTY, max_malformed=2)
+
+
+def test_a_quoted_line_break_is_two_malformed_lines_or_one_record(spark, tmp_path):
+    text = 'a,b,c\n1,"two\nlines",3\n1,2,3,4\n1,2,3,,5\n1,2\n'
+    lines = checked(spark, tmp_path, text, max_malformed=None)
+    assert lines.report.first().malformed_count == 4 and lines.report.first().unclosed_quote == 2
+    records = load_checked(spark, str(tmp_path), {"t": T.StructType()}, max_malformed=None, multi_line=True)
+    assert records.report.first().asDict() == {
+        "table_name": "t", "loaded_count": 3, "malformed_count": 2, "surplus_fields": 2, "unclosed_quote": 0,
+    }
+    assert as_set(records.tables["t"], "a", "b", "c") == {("1", "two\nlines", "3"), ("1", "2", None), ("5", "5", "5")}
+
+
+def test_good_and_empty_files_have_no_faults(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a\n")
+    loaded = load_checked(spark, str(tmp_path), {"t": T.StructType()})
+    assert loaded.tables["t"].columns == ["a"] and loaded.tables["t"].count() == 0
+    assert loaded.report.first().malformed_count == 0 and loaded.malformed.count() == 0
+
+
+def test_the_command_line_refuses_malformed_files(spark, tmp_path, capsys):
+    for name, df in dirty(spark, "/root/testdata/sf0.001").items():
+        df.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{tmp_path}/in/{name}.csv")
+    (part,) = (tmp_path / "in" / "patients.csv").glob("part-*.csv")
+    part.write_text(part.read_text() + "1,2,3,4,5,6,7,8\n")
+    for check in (tmp_path / "in" / "patients.csv").glob(".*.crc"):
+        check.unlink()
+    arguments = [f"{tmp_path}/in", f"{tmp_path}/out", "--as-of", "2026-01-01"]
+    with pytest.raises(MalformedInput, match="patients: 1"):
+        main(arguments)
+    main([*arguments, "--max-malformed", "1"])
+    assert "patients: 1 malformed" in capsys.readouterr().out
+    runs = read_governance(spark, f"{tmp_path}/out/governance", "dq_runs")
+    assert runs.count() == 1 and runs.first().notes == "patients: 1 malformed records left out"

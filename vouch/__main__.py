@@ -14,8 +14,9 @@ from vouch.operators.evaluate import RuleError
 from vouch.operators.score import total_issues
 from vouch.plans.context import RunContext
 from vouch.plans.run import run_all, write_governance
-from vouch.sources.load import load_tables, read_csv
+from vouch.sources.load import load_checked, load_tables, read_csv
 from vouch.sources.sinks import write_results
+from vouch.sources.staging import new_folder, remove
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -27,12 +28,19 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--source-counts", help="CSV with table_name, source_count")
     parser.add_argument("--approx", action="store_true", help="estimate distinct values")
     parser.add_argument("--multi-line", action="store_true", help="line breaks inside quoted fields")
+    parser.add_argument("--max-malformed", type=int, default=0, help="malformed records of a CSV table that do not end the run")
     parser.add_argument("--replace", action="store_true", help="keep the last run only")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("vouch").getOrCreate()
     ctx = RunContext(datetime.now(), options.as_of)
-    tables = load_tables(spark, options.input, file_format=options.format, multi_line=options.multi_line)
+    folder, notes = new_folder(spark), []
+    if options.format == "csv":
+        loaded = load_checked(spark, options.input, None, options.max_malformed, options.multi_line, folder)
+        tables = loaded.tables
+        notes = [f"{r.table_name}: {r.malformed_count} malformed records left out" for r in loaded.report.where("malformed_count > 0").collect()]
+    else:
+        tables = load_tables(spark, options.input, file_format=options.format)
     if options.source_counts:
         counts = read_csv(spark, options.source_counts)
     else:
@@ -43,11 +51,13 @@ def main(arguments: list[str] | None = None) -> None:
         ctx,
         counts,
         distinct="approx" if options.approx else "exact",
-        stage_inputs=options.format == "csv",
         errors=errors,
     )
     write_results(frames, f"{options.output}/results")
-    write_governance(frames, ctx, f"{options.output}/governance", keep_history=not options.replace, errors=errors)
+    write_governance(frames, ctx, f"{options.output}/governance", keep_history=not options.replace, errors=errors, notes=notes)
+    remove(spark, folder)
+    for note in notes:
+        print(note)
     for error in errors:
         print(f"{error.rule_id} not checked, counted as passed: {error.message}")
     frames["dq_scores"].select("table_name", "dq_score", "grade").show()

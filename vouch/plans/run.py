@@ -69,16 +69,17 @@ def write_governance(
     rules: list[Rule] = HEALTHCARE_RULES,
     keep_history: bool = True,
     errors: Sequence[RuleError] = (),
+    notes: Sequence[str] = (),
 ) -> None:
     """Load the frames of a run into the governance tables under ``path``.
 
     The tables and the run record become visible together: every run that a view shows is listed in
-    ``dq_runs`` and has all its tables. The record's notes name the rules that could not be checked,
-    which count as passed.
+    ``dq_runs`` and has all its tables. The record's notes are the given ones, then the rules that
+    could not be checked, which count as passed.
     """
     results = frames["dq_results"]
     registry_frame(results.sparkSession, rules, ctx).write.mode("overwrite").parquet(
         f"{path}/dq_rule_registry"
     )
-    notes = "; ".join(f"{e.rule_id} not checked: {e.message}" for e in errors) or None
-    load_governance(frames, path, ctx.run_id, keep_history, run_record(results, notes=notes))
+    text = "; ".join([*notes, *[f"{e.rule_id} not checked: {e.message}" for e in errors]]) or None
+    load_governance(frames, path, ctx.run_id, keep_history, run_record(results, notes=text))

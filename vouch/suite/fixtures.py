@@ -163,3 +163,16 @@ SELECT cast(o_orderkey AS string) AS encounter_id,
  CASE WHEN o_orderkey % 5 = 0 THEN 'True' WHEN o_orderkey % 5 = 1 THEN 'no idea' ELSE 'False' END AS is_active
 FROM {orders}
 """
+
+# CSV lines, good ones and faulty ones: a field too many, an open quote, a quoted line break (which leaves
+# two lines), a field too few, and commas and quotes inside a field
+MALFORMED_CSV = """
+SELECT CASE c_custkey % 10 WHEN 1 THEN cast(c_custkey AS string) || ',' || c_name || ',' || cast(c_nationkey AS string) || ',extra'
+   WHEN 2 THEN cast(c_custkey AS string) || ',"' || c_name || ',' || cast(c_nationkey AS string)
+   WHEN 3 THEN cast(c_custkey AS string) || ',"broken'
+   WHEN 4 THEN cast(c_custkey AS string) || ',' || c_name
+   WHEN 5 THEN cast(c_custkey AS string) || ',"a, ""b""' || '",' || cast(c_nationkey AS string)
+   ELSE cast(c_custkey AS string) || ',' || c_name || ',' || cast(c_nationkey AS string) END AS line
+FROM {customer}
+UNION ALL SELECT 'name",' || cast(c_nationkey AS string) FROM {customer} WHERE c_custkey % 10 = 3
+"""

@@ -382,6 +382,14 @@ def oracle_sql() -> dict[str, str]:
               CASE WHEN state IN ('', 'NA', 'null', 'None', 'N/A', 'nan', '#N/A', '<NA>', '-1.#IND', 'NULL') THEN NULL ELSE state END AS state,
               CASE WHEN balance NOT IN ('NaN', 'n/a', 'unknown') THEN cast(balance AS DOUBLE) END AS balance
             FROM ({plain(fixtures.TOKEN_CSV)})""",
+        "load_malformed": """
+            SELECT 't' AS table_name, count(*) FILTER (WHERE k NOT IN (1, 2, 3)) AS loaded_count,
+              count(*) FILTER (WHERE k IN (1, 2)) + 2 * count(*) FILTER (WHERE k = 3) AS malformed_count,
+              count(*) FILTER (WHERE k = 1) AS surplus_fields,
+              count(*) FILTER (WHERE k = 2) + 2 * count(*) FILTER (WHERE k = 3) AS unclosed_quote,
+              cast(sum(c_custkey) FILTER (WHERE k NOT IN (1, 2, 3)) AS BIGINT) AS sum_ids,
+              count(*) FILTER (WHERE k NOT IN (1, 2, 3, 4)) AS nations, count(*) FILTER (WHERE k = 5) AS quoted
+            FROM (SELECT c_custkey, c_custkey % 10 AS k FROM customer)""",
         "load_typed": f"""
             SELECT encounter_id, zip_code,
               CASE WHEN length_of_stay NOT IN ('three', '2.5') THEN cast(replace(length_of_stay, '.0', '') AS INTEGER) END AS length_of_stay,

@@ -24,7 +24,7 @@ from vouch.operators.score import score, total_issues, weight
 from vouch.operators.views import latest_scores, open_critical_issues
 from vouch.plans.reports import HEALTHCARE_REPORTS, report_frame
 from vouch.plans.rules import HEALTHCARE_RULES, registry_frame, rules_for
-from vouch.sources.load import load_tables
+from vouch.sources.load import load_checked, load_tables
 from vouch.sources.schemas import HEALTHCARE_SCHEMAS
 from vouch.sources.sinks import governance_frame, load_governance, read_governance, write_results
 from vouch.sources.staging import new_folder, remove, settle, stage
@@ -132,6 +132,24 @@ def load_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _load_text(spark, sf_dir, fixtures.TYPED_CSV, schema)
 
 
+@query("load_malformed")
+def load_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faulty lines counted by fault, and what the table holds without them."""
+    folder = new_folder(spark)
+    (lines,) = from_sql(spark, sf_dir, fixtures.MALFORMED_CSV)
+    try:
+        text = lines.select(F.col("line").alias("id,name,nation"))
+        text.write.option("header", True).option("sep", "\u0001").option("quote", "").option("escape", "").csv(f"{folder}/in/t.csv")
+        types = StructType.fromDDL("id BIGINT, name STRING, nation INT")
+        loaded = load_checked(spark, f"{folder}/in", {"t": types}, max_malformed=None, folder=f"{folder}/staged")
+        held = loaded.tables["t"].agg(
+            F.sum("id").alias("sum_ids"), F.count("nation").alias("nations"), F.count_if(F.col("name") == 'a, "b"').alias("quoted")
+        )
+        return settle(loaded.report.join(held.withColumn("table_name", F.lit("t")), "table_name"))
+    finally:
+        remove(spark, folder)
+
+
 def _load_text(spark: SparkSession, sf_dir: str, text: str, schema: dict[str, str]) -> DataFrame:
     folder = new_folder(spark)
     (name, columns), = schema.items()
