@@ -5,10 +5,11 @@ from conftest import DATA
 from helpers import as_set
 from pyspark.sql import functions as F
 
-from vouch.functions.checks import custom, in_set, not_null, references, unique
-from vouch.operators.evaluate import evaluate
+from vouch.functions.checks import at_least, custom, in_set, not_null, references, unique
+from vouch.operators.evaluate import evaluate, isolated
 from vouch.plans.rules import HEALTHCARE_RULES, Rule, registry_frame, rules_for
-from vouch.suite.fixtures import RAW_RULES, RAW_TABLES, dirty, raw
+from vouch.plans.run import run_all
+from vouch.suite.fixtures import CONTEXT, JOINED_VIEWS, RAW_RULES, RAW_TABLES, dirty, raw
 
 SF = f"{DATA}/sf0.01"
 
@@ -150,3 +151,53 @@ def test_one_scan_for_all_row_checks(spark, ctx):
     plan = evaluate(tables, rules, ctx)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
     assert "ReadSchema: struct<c_mktsegment:string>" in plan
+
+
+def test_views_give_the_rows_that_tables_give(spark):
+    tables = dirty(spark, f"{DATA}/sf0.001", "lab_results", "patients", "encounters")
+    rules = rules_for(HEALTHCARE_RULES, "lab_results", "patients", "encounters")
+    apart, once = (evaluate(tables, rules, CONTEXT, views=v) for v in ((), ("lab_results", "patients", "encounters")))
+    columns = ("rule_id", "total_records", "failed_records", "status")
+    assert as_set(apart, *columns) == as_set(once, *columns) and once.count() == 25
+    empty = {name: df.where("false") for name, df in tables.items()}
+    assert as_set(evaluate(empty, rules, CONTEXT, views=tables), "total_records", "failed_records") == {(0, 0)}
+
+
+def scans_of(results, column):
+    plan = results._jdf.queryExecution().optimizedPlan().toString()
+    return sum(line.lstrip(" +-:").startswith("Relation [") and column in line for line in plan.splitlines())
+
+
+def test_one_join_of_lineitem_and_orders(spark):
+    tables = dirty(spark, f"{DATA}/sf0.001", "lab_results", "patients")
+    results = evaluate(tables, rules_for(HEALTHCARE_RULES, "lab_results"), CONTEXT, views=JOINED_VIEWS)
+    assert scans_of(results, "l_orderkey#") == 1 and scans_of(results, "o_orderkey#") == 1
+
+
+def test_a_bad_value_ends_no_run(spark, ctx):
+    df = spark.createDataFrame([("1", 1), ("x", 0), (None, 2)], "t string, n int")
+    rules = [
+        Rule("A", "t", "Validity", "High", "plain", at_least("n", 1)),
+        Rule("B", "t", "Validity", "High", "text as a number", custom(lambda df: F.col("t").cast("int") > 5)),
+        Rule("C", "t", "Uniqueness", "High", "unique", unique("n")),
+        Rule("D", "t", "Validity", "High", "division", custom(lambda df: F.lit(1) / F.col("n") > 5)),
+        Rule("E", "u", "Validity", "High", "other table", at_least("n", 2)),
+        Rule("F", "u", "Validity", "High", "absent", not_null("nothing")),
+    ]
+    for views in ((), ("t",)):
+        errors = []
+        results = isolated(evaluate, {"t": df, "u": df}, rules, ctx, errors, views)
+        assert as_set(results, "rule_id", "total_records", "failed_records", "status") == {
+            ("A", 3, 1, "FAIL"), ("B", 3, 0, "PASS"), ("C", 3, 0, "PASS"), ("D", 3, 0, "PASS"), ("E", 3, 2, "FAIL"), ("F", 3, 0, "PASS"),
+        }
+        assert sorted(e.rule_id for e in errors) == ["B", "D", "F"]
+        assert "CAST_INVALID_INPUT" in next(e.message for e in errors if e.rule_id == "B")
+
+
+def test_a_whole_run_outlives_a_bad_value(spark, ctx):
+    df = spark.createDataFrame([("x", 1)], "t string, n int")
+    errors = []
+    rules = [Rule("B", "t", "Validity", "High", "text as a number", custom(lambda df: F.col("t").cast("int") > 5))]
+    sent = spark.createDataFrame([], "table_name string, source_count bigint")
+    frames = run_all({"t": df}, ctx, sent, rules, [], errors=errors)
+    assert frames["dq_results"].first().status == "PASS" and [e.rule_id for e in errors] == ["B"]

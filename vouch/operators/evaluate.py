@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
+from collections.abc import Callable, Collection
+from dataclasses import dataclass, replace
 
 from py4j.protocol import Py4JError
-from pyspark.errors import AnalysisException
+from pyspark.errors import (
+    AnalysisException,
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    NumberFormatException,
+    PythonException,
+    SparkNoSuchElementException,
+    SparkRuntimeException,
+)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,10 +27,22 @@ from vouch.functions.nulls import column, nan_to_null
 from vouch.functions.numeric import count_or_zero, pct
 from vouch.plans.context import RunContext
 from vouch.plans.rules import Rule, rule_frame
+from vouch.sources.staging import settle
 
 # What a faulty check raises; lost connections and internal errors end the run.
 FAULTS = (AnalysisException, TypeError, ValueError, LookupError, AttributeError, ArithmeticError)
 
+# What a check raises when it meets a value that it cannot work with.
+DATA_FAULTS = (
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    NumberFormatException,
+    PythonException,
+    SparkNoSuchElementException,
+    SparkRuntimeException,
+)
+
 log = logging.getLogger(__name__)
 
 
@@ -37,6 +59,7 @@ def evaluate(
     rules: list[Rule],
     ctx: RunContext,
     errors: list[RuleError] | None = None,
+    views: Collection[str] = (),
 ) -> DataFrame:
     """``dq_results``: every rule over its whole table.
 
@@ -44,6 +67,10 @@ def evaluate(
     checks work on the counts per key, which Spark combines before the shuffle, so a key
     held by a large share of the rows costs one row per task. Checks of the same key
     share those counts.
+
+    Tables named in ``views`` are joins or other work that is dearer than a shuffle: their row
+    checks are counted per key, in the pass that one of their keys needs anyway. A stored table
+    is better scanned again, as its row checks then need no shuffle.
     """
     needed = {r.table_name for r in rules}
     needed |= {r.check.parent_table for r in rules if isinstance(r.check, References)}
@@ -60,7 +87,7 @@ def evaluate(
     parts = []
     for table_name in dict.fromkeys(r.table_name for r in rules):
         table_rules = {tag: r for tag, r in numbered.items() if r.table_name == table_name}
-        parts += _table_parts(tables, tables[table_name], table_rules, ctx, errors)
+        parts += _table_parts(tables, tables[table_name], table_rules, ctx, errors, table_name in views)
     passed = F.col("total_records") - F.col("failed_records")
     registry = rule_frame(tables[rules[0].table_name].sparkSession, rules)
     tagged = registry.withColumn("tag", F.concat(F.lit(TAG), "rule_order"))
@@ -83,6 +110,38 @@ def evaluate(
 TAG = "rule_"
 
 
+def isolated(
+    evaluate: Callable[..., DataFrame],
+    tables: dict[str, DataFrame],
+    rules: list[Rule],
+    ctx: RunContext,
+    errors: list[RuleError],
+    views: Collection[str] = (),
+) -> DataFrame:
+    """The results of ``evaluate``, worked out and kept, whatever values the data hold.
+
+    A rule that fails on a value, such as a cast of text that is no number, counts as passed and is
+    reported like one that cannot be planned. All rules are tried together first; only where
+    that fails are they parted, by table and then by halves, until the failing ones stand
+    alone: a bad value costs a few passes over its table. Lost executors, a full disk and other
+    faults that are not the rule's end the run as ever.
+    """
+    found: list[RuleError] = []
+    try:
+        results = settle(evaluate(tables, rules, ctx, found, views))
+    except DATA_FAULTS as error:
+        if len(rules) == 1:
+            _report(rules[0], str(error), errors)
+            return settle(evaluate(tables, [replace(rules[0], check=lambda df, as_of: F.lit(False))], ctx, None, views))
+        names = list(dict.fromkeys(r.table_name for r in rules))
+        parts = [[r for r in rules if r.table_name == n] for n in names]
+        if len(parts) == 1:
+            parts = [rules[: len(rules) // 2], rules[len(rules) // 2 :]]
+        return union_all([isolated(evaluate, tables, part, ctx, errors, views) for part in parts])
+    errors.extend(found)
+    return results
+
+
 def _tag(position: int) -> str:
     """The column that counts the failures of the rule at this position."""
     return f"{TAG}{position}"
@@ -94,6 +153,7 @@ def _table_parts(
     rules: dict[str, Rule],
     ctx: RunContext,
     errors: list[RuleError],
+    once: bool = False,
 ) -> list[DataFrame]:
     """Frames of ``total_records, tag, failed_records`` that cover the rules of one table."""
     by_key: dict[tuple[str, ...], dict[str, Rule]] = {}
@@ -112,10 +172,13 @@ def _table_parts(
         # a reference from a column that is not there holds, any other check is at fault
         if isinstance(rule.check, Unique):
             _report(rule, f"no column {', '.join(absent)}", errors)
+    violations = _violations(df, row_rules, ctx, errors)
     key_parts = []
     for keys, group in by_key.items():
         try:
-            key_parts.append(_key_part(tables, df, keys, group))
+            key_parts.append(_key_part(tables, df, keys, group, violations if once else {}))
+            if once:
+                violations = {}
         except FAULTS:
             for tag, rule in group.items():
                 try:
@@ -123,8 +186,7 @@ def _table_parts(
                 except FAULTS as error:  # such as a key of another type than its parent
                     _report(rule, str(error), errors)
                     unchecked.append(tag)
-    violations = _violations(df, row_rules, ctx, errors)
-    violations.update({tag: F.lit(False) for tag in unchecked})
+    violations = {**violations, **{tag: F.lit(False) for tag in unchecked}}
     return ([_row_part(df, violations)] if violations else []) + key_parts
 
 
@@ -176,11 +238,18 @@ def _row_part(df: DataFrame, violations: dict[str, Column]) -> DataFrame:
 
 
 def _key_part(
-    tables: dict[str, DataFrame], df: DataFrame, keys: tuple[str, ...], rules: dict[str, Rule]
+    tables: dict[str, DataFrame],
+    df: DataFrame,
+    keys: tuple[str, ...],
+    rules: dict[str, Rule],
+    violations: dict[str, Column] | None = None,
 ) -> DataFrame:
+    """The rules of a key, and the row checks of ``violations``, from one pass that counts per key."""
+    violations = violations or {}
     names = [f"key_{i}" for i in range(len(keys))]
     counts = df.groupBy(*[column(k).alias(n) for k, n in zip(keys, names)]).agg(
-        F.count(F.lit(1)).alias("records")
+        F.count(F.lit(1)).alias("records"),
+        *[F.count_if(violation).alias(tag) for tag, violation in violations.items()],
     )
     broken = {}
     for tag, rule in rules.items():
@@ -193,8 +262,9 @@ def _key_part(
     totals = counts.agg(
         count_or_zero(F.sum("records")).alias("total_records"),
         *[count_or_zero(F.sum(F.when(b, F.col("records")))).alias(tag) for tag, b in broken.items()],
+        *[count_or_zero(F.sum(tag)).alias(tag) for tag in violations],
     )
-    return _row_per_rule(totals, rules)
+    return _row_per_rule(totals, {**rules, **violations})
 
 
 def _flag_known(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vouch.operators.audit import audit_log
-from vouch.operators.evaluate import RuleError, evaluate
+from vouch.operators.evaluate import RuleError, evaluate, isolated
 from vouch.operators.impact import downstream_impact
 from vouch.operators.profile import profile
 from vouch.operators.reconcile import reconcile
@@ -43,7 +43,7 @@ def run_all(
     try:
         if folder:
             tables = stage(tables, folder)
-        results = settle(evaluate(tables, rules, ctx, errors))
+        results = isolated(evaluate, tables, rules, ctx, [] if errors is None else errors)
         profiled = settle(profile(tables, samples=distinct == "exact", distinct=distinct))
     finally:
         if folder:

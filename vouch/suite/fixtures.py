@@ -67,6 +67,9 @@ FROM {events}
 """,
 }
 
+#: Views that join two tables: their rules are checked in one pass over the join.
+JOINED_VIEWS = ("patients", "lab_results")
+
 RAW_TABLES = ("supplier", "part", "orders", "customer")
 
 RAW_RULES = [
@@ -105,6 +108,19 @@ ORDER_RULES = [
     Rule("ORD-005", "orders", "Consistency", "Low", "o_totalprice must be at least 50000", at_least("o_totalprice", 50000)),
 ]
 
+# Rules that cannot be checked, beside one that can: columns that are not there, a check that gives
+# no truth, a reference from no column (which holds), and text that is no number.
+FAULTY_RULES = [
+    RAW_RULES[10],
+    Rule("BAD-001", "orders", "Completeness", "High", "no_such must not be null", not_null("no_such")),
+    Rule("BAD-002", "orders", "Uniqueness", "High", "no_such must be unique", unique("no_such")),
+    Rule("BAD-003", "orders", "Validity", "High", "a number is no check", custom(lambda df: F.col("o_custkey") + 1)),
+    Rule("BAD-004", "orders", "Referential", "High", "no_such must exist in customer", references("no_such", "customer", "c_custkey")),
+    Rule("BAD-005", "orders", "Validity", "High", "status as a number", custom(lambda df: F.col("o_orderstatus").cast("int") > 5)),
+    Rule("BAD-006", "customer", "Validity", "Low", "share of nothing", custom(lambda df: F.col("c_acctbal") / (F.col("c_custkey") - F.col("c_custkey")) > 1)),
+    RAW_RULES[12],
+]
+
 # What two stored runs check: the second has a rule that orders do not break.
 STORED_RULES = [r for r in RAW_RULES if r.rule_id in ("ORD-003", "CUS-002")]
 MENDED_RULES = [replace(r, check=not_null("o_orderkey")) if r.rule_id == "ORD-003" else r for r in STORED_RULES]

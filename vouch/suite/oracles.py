@@ -82,6 +82,7 @@ VIOLATIONS = {
     "CUS-001": _null("c_custkey"),
     "CUS-002": "c_acctbal < 0",
     "CUS-003": _unknown("c_nationkey", "nation", "n_nationkey"),
+    **{f"BAD-00{n}": "false" for n in range(1, 7)},
 }
 
 WEIGHT = "CASE severity WHEN 'Critical' THEN 4 WHEN 'High' THEN 3 WHEN 'Medium' THEN 2 WHEN 'Low' THEN 1 END"
@@ -418,6 +419,11 @@ def oracle_sql() -> dict[str, str]:
         "grade_boundaries": _with_results("SELECT table_name, dq_score, grade FROM scores", BOTH_RULES),
         "total_issues": _with_results("SELECT cast(sum(failed_records) AS BIGINT) AS total_issues FROM results"),
         "dq_results_raw": _with_results(f"SELECT {RESULT_COLUMNS} FROM results", RAW_RULES),
+        "dq_results_faulty": _with_results(
+            "SELECT table_name, rule_id, total_records, failed_records, pass_rate_pct, status, "
+            "rule_id LIKE 'BAD-%' AND rule_id <> 'BAD-004' AS noted FROM results",
+            fixtures.FAULTY_RULES,
+        ),
         "dq_scores_raw": _with_results(f"SELECT {SCORE_COLUMNS} FROM scores", RAW_RULES),
         "downstream_impact_raw": _with_results("SELECT * FROM impact", RAW_RULES, RAW_REPORTS),
         "profile_all": _with_views(_profile(*DIRTY_VIEWS)),
