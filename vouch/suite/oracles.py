@@ -308,9 +308,9 @@ def _with_reconciliation(select: str) -> str:
 # --- runs
 
 
-def _history_rows() -> str:
+def _history_rows(runs: int = len(HISTORY)) -> str:
     parts = []
-    for ctx, names in HISTORY:
+    for ctx, names in HISTORY[:runs]:
         rules = [r for r in HEALTHCARE_RULES if r.table_name in names]
         parts.append(
             _rule_rows(rules, f"TIMESTAMP '{ctx.as_of or ctx.run_time}'", ctx.run_id, f"{ctx.run_time}")
@@ -318,6 +318,15 @@ def _history_rows() -> str:
     return " UNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
 
 
+def _two_runs(select: str) -> str:
+    """Results of two runs with their scores and the reports that each run's triggers reach."""
+    triggers = TRIGGERS.replace("SELECT table_name", "SELECT run_id, table_name").replace("GROUP BY table_name", "GROUP BY run_id, table_name")
+    return (
+        f"WITH {VIEWS}, results AS ({_results(_history_rows(2))}), scores AS ({SCORES}), triggers AS ({triggers}), "
+        f"report_lines AS ({_report_lines(HEALTHCARE_REPORTS)}) {select}"
+    )
+
+
 def _run_record(rows: str, triggered_by: str) -> str:
     return (
         f"SELECT run_id, run_time, {_text(triggered_by)} AS triggered_by, 'Completed' AS status, "
@@ -518,6 +527,30 @@ def oracle_sql() -> dict[str, str]:
             "count(*) FILTER (WHERE status = 'FAIL') AS failed, dq_score, grade "
             "FROM chosen c JOIN scores s ON c.table_name = s.table_name GROUP BY c.table_name, dq_score, grade"
         ),
+        "rule_summary_history": _two_runs(
+            "SELECT r.run_id, r.table_name, count(*) FILTER (WHERE status = 'PASS') AS passed, count(*) FILTER (WHERE status = 'FAIL') AS failed, "
+            "dq_score, grade FROM results r JOIN scores s ON r.run_id = s.run_id AND r.table_name = s.table_name GROUP BY r.run_id, r.table_name, dq_score, grade"
+        ),
+        "dq_heatmap_history": _two_runs(
+            f"SELECT run_id, table_name, {', '.join(f'{_radar(c)} AS {_quoted(c)}' for c in HEATMAP_CATEGORIES)} FROM results GROUP BY run_id, table_name"
+        ),
+        "issues_by_category_history": _two_runs(
+            "SELECT run_id, category, failed_records, "
+            f"{_pct('failed_records', 'total', 1)} AS share_pct FROM "
+            "(SELECT run_id, category, cast(sum(failed_records) AS BIGINT) AS failed_records, "
+            "cast(sum(sum(failed_records)) OVER (PARTITION BY run_id) AS BIGINT) AS total FROM results WHERE status = 'FAIL' GROUP BY run_id, category)"
+        ),
+        "kpi_cards_history": _two_runs(
+            "SELECT * FROM (SELECT run_id, count(DISTINCT table_name) AS tables_scanned, count(*) AS total_rules, cast(sum(failed_records) AS BIGINT) AS total_issues, "
+            "cast(sum(failed_records) FILTER (WHERE severity = 'Critical') AS BIGINT) AS critical_issues, "
+            f"{_pct('count(*) FILTER (WHERE failed_records = 0)', 'count(*)', 1)} AS rule_pass_rate, "
+            "count(*) FILTER (WHERE status = 'FAIL') AS open_audit_issues FROM results GROUP BY run_id) r "
+            "JOIN (SELECT run_id, round_even(cast(sum(cast(dq_score AS DECIMAL(6, 1))) AS DOUBLE) / count(*), 1) AS overall_score FROM scores GROUP BY run_id) USING (run_id) "
+            "JOIN (SELECT run_id, count(DISTINCT report) AS reports_affected FROM triggers JOIN report_lines USING (table_name) GROUP BY run_id) USING (run_id)"
+        ),
+        "audit_by_severity_history": _two_runs(
+            "SELECT run_id, severity, cast(sum(failed_records) AS BIGINT) AS records_affected FROM results WHERE status = 'FAIL' GROUP BY run_id, severity"
+        ),
         "issues_by_severity": _with_results(
             "SELECT severity, cast(sum(failed_records) AS BIGINT) AS failed_records FROM chosen WHERE status = 'FAIL' GROUP BY severity"
         ),

@@ -680,3 +680,44 @@ def issues_by_table_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dq_radar")
 def dq_radar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.radar(_chosen(spark, sf_dir))
+
+
+# --- marts over two runs
+
+
+def _two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The results of two runs, the second with a later clock and without the medications."""
+    tables = dirty(spark, sf_dir)
+    runs = [evaluate(tables, rules_for(HEALTHCARE_RULES, *names), ctx, views=fixtures.JOINED_VIEWS) for ctx, names in HISTORY[:2]]
+    return settle(runs[0].unionByName(runs[1]))
+
+
+BY_RUN = ("run_id",)
+
+
+@query("rule_summary_history")
+def rule_summary_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = _two_runs(spark, sf_dir)
+    return marts.rule_summary(results, score(results), by=BY_RUN)
+
+
+@query("dq_heatmap_history")
+def dq_heatmap_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.heatmap(_two_runs(spark, sf_dir), by=BY_RUN)
+
+
+@query("issues_by_category_history")
+def issues_by_category_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.issues_by_category(_two_runs(spark, sf_dir), by=BY_RUN)
+
+
+@query("kpi_cards_history")
+def kpi_cards_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = _two_runs(spark, sf_dir)
+    audit, impact = audit_log(results, HEALTHCARE_RULES), downstream_impact(results, HEALTHCARE_REPORTS)
+    return marts.kpi_cards(results, score(results), audit, impact, by=BY_RUN)
+
+
+@query("audit_by_severity_history")
+def audit_by_severity_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.audit_by_severity(audit_log(_two_runs(spark, sf_dir), HEALTHCARE_RULES), by=BY_RUN)
