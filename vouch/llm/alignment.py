@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vouch.llm.csr import Csr
+from vouch.llm.frames import releasing
 from vouch.llm.stretches import Encoder, Lists, byte_alphabet, cut, slices
 from vouch.sources.staging import new_folder
 
@@ -227,6 +228,7 @@ def aligned_documents(docs: DataFrame, vocabulary: str, model: bytes) -> DataFra
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["n_a", "n_b", "n_groups", "n_links"]
 
+    @releasing
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = None
         for batch in batches:
@@ -258,6 +260,7 @@ def aligned_documents(docs: DataFrame, vocabulary: str, model: bytes) -> DataFra
 def pair_counts(aligned: DataFrame) -> DataFrame:
     """pair, n: how many links of all documents hold a pair of ids. Counted per batch before the shuffle."""
 
+    @releasing
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs, n = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u8"), return_counts=True)
@@ -304,6 +307,7 @@ def link_scores(docs: DataFrame, vocabulary: str, model: bytes) -> DataFrame:
     np.maximum.at(most, of_b, n)
     table = spark.sparkContext.broadcast((pair, n, n == most[of_b]))
 
+    @releasing
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, n, best = table.value
         for batch in batches:
@@ -334,6 +338,7 @@ def token_links(docs: DataFrame, vocabulary: str, model: bytes, kind: str = "ove
     id_type = docs.schema["doc_id"].dataType.simpleString()
     names = ["a_place", "b_place", "a_id", "b_id", "shared"]
 
+    @releasing
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = None
         for batch in batches:

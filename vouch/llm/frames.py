@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +37,25 @@ def ascii_lower(text: Column) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def releasing(work: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """``work`` over the batches of a task, which gives its memory back at the end.
+
+    Workers outlive their tasks, and allocators keep what is free: without this, an idle worker
+    holds what the largest of its tasks took.
+    """
+
+    @wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # a C library without it
+                pass
+
+    return run

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vouch.llm.frames import releasing
+
 DIMENSIONS = 1024
 #: Texts that are counted together, and the letters of a text that are read at once.
 TEXTS, LETTERS = 256, 1 << 20
@@ -115,6 +117,7 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray
     """
     training = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
 
+    @releasing
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -159,6 +162,7 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     """
     prototypes = learn(docs, dimensions)
 
+    @releasing
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = classify(batch.column(2).to_pandas(), prototypes, dimensions)
@@ -179,6 +183,7 @@ def keep_known(docs: DataFrame, min_score: float = MIN_SCORE, dimensions: int =
 
     at = docs.columns.index("text")
 
+    @releasing
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = classify(batch.column(at).to_pandas(), prototypes, dimensions)

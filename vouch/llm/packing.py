@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vouch.llm import stretches
+from vouch.llm.frames import releasing
 from vouch.sources.staging import settle
 
 CAPACITY = 1024
@@ -41,6 +42,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
     types = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
     last = np.array([end], "<u4").tobytes()
 
+    @releasing
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:

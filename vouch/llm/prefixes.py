@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vouch.llm.frames import partitions
+from vouch.llm.frames import partitions, releasing
 from vouch.llm.skew import in_segments, lookup, running
 from vouch.sources.staging import settle
 
@@ -124,6 +124,7 @@ def sketch_of(prefixes: DataFrame, width: int) -> Sketch:
     """The sketch of all names: one per task, added up block by block, of bounded size in the driver."""
     kinds = "number int, cells binary"
 
+    @releasing
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Sketch(width)
         for batch in batches:
@@ -131,6 +132,7 @@ def sketch_of(prefixes: DataFrame, width: int) -> Sketch:
         for number, cells in own.blocks():
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([cells], pa.binary())], names=["number", "cells"])
 
+    @releasing
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -168,6 +170,7 @@ def _end_hashes(ends: DataFrame) -> DataFrame:
     the joined pieces in one task, and holds one of them at a time.
     """
 
+    @releasing
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, first, parts, size = None, None, [], 0
 
@@ -186,6 +189,7 @@ def _end_hashes(ends: DataFrame) -> DataFrame:
         if parts:
             yield piece()
 
+    @releasing
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, state = None, None
 

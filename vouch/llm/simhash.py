@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vouch.llm.components import connected_components
+from vouch.llm.frames import releasing
 from vouch.sources.staging import settle
 
 SHINGLE = 3
@@ -51,6 +52,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fingerprint as a signed number), a row per row; a text is read once, whole."""
 
+    @releasing
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.fromiter((fingerprint(t, shingle) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are cut together; a longer text is cut alone.
-SLICE = 8 << 20
+SLICE = 4 << 20
 
 #: A blank after anything but white space starts a new stretch.
 _BLANK = re.compile(r"(?<=\S) ")

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vouch.llm.frames import partitions
+from vouch.llm.frames import partitions, releasing
 from vouch.llm.skew import lookup
 from vouch.sources.staging import new_folder, settle
 
@@ -175,6 +175,7 @@ def _send(found: list[tuple], parts: int) -> pd.DataFrame:
 
 
 def _positions(parts: int):
+    @releasing
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found, size = [], 0
         for batch in batches:
@@ -193,6 +194,7 @@ def _positions(parts: int):
     return send
 
 
+@releasing
 def _ranked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Spans of strings known from an earlier document, without a name; what is still open, with one."""
     fields: list[list[np.ndarray]] = [[], [], [], [], []]
@@ -239,6 +241,7 @@ def _ranked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _strings(parts: int):
     """The strings of LEAST bytes of open stretches, sent as stretches of one string with two names."""
 
+    @releasing
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found, size = [], 0
         for batch in batches:

@@ -14,7 +14,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vouch.llm.frames import partitions
+from vouch.llm.frames import partitions, releasing
 from vouch.llm.skew import lookup
 from vouch.sources.staging import new_folder, settle
 
@@ -128,6 +128,7 @@ def write_archives(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:
     kinds = f"record_id string, page_id {kind}, url string, type string, payload_digest string, payload_bytes bigint, refers_to string, file string, offset bigint, length bigint"
     planned = planned_records(pages, min_bytes).withColumn("page", F.col("page_id").cast("string"))
 
+    @releasing
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
         out, name, at = None, None, 0
@@ -206,6 +207,7 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
     kinds = "record_id string, type string, page_id string, url string, payload_digest string, payload_bytes bigint, refers_to string" + ", payload binary" * payloads
     schema = pa.schema([(f.split()[0], pa.int64() if "bigint" in f else pa.binary() if "binary" in f else pa.string()) for f in kinds.split(", ")])
 
+    @releasing
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
         open_name, source = None, None
