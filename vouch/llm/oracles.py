@@ -27,7 +27,8 @@ def _url_filters() -> str:
           UNION ALL SELECT side, host, (1 - {urls.DAMPING}) * score FROM s0) GROUP BY side, host)"""
         for k in range(1, urls.ITERATIONS + 1)
     ]
-    side = lambda s: f"round(sum(CASE WHEN side = '{s}' THEN score ELSE 0 END), {urls.DIGITS})"
+    side = lambda s: f"sum(CASE WHEN side = '{s}' THEN score ELSE 0 END)"
+    least = f"{urls.THRESHOLD * (1 + 10.0**-urls.DIGITS)!r}::DOUBLE"
     return f"""WITH split AS (
       SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '{split}', 1), {lower}) AS host,
         regexp_extract(coalesce(url, ''), '{split}', 2) AS path FROM pages),
@@ -48,7 +49,7 @@ def _url_filters() -> str:
     {", ".join(steps)},
     scores AS (SELECT host, {side("trust")} AS trust, {side("distrust")} AS distrust FROM s{urls.ITERATIONS} GROUP BY host)
     SELECT page_id, m.host, path, rule,
-      coalesce(ruled, CASE WHEN coalesce(distrust, 0) > {urls.THRESHOLD} * coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
+      coalesce(ruled, CASE WHEN coalesce(distrust, 0) > {least} * coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
     FROM marked m LEFT JOIN scores s ON m.host = s.host"""
 
 

@@ -38,7 +38,7 @@ def jump(key: Column, shards: int) -> tuple[Column, Column]:
                     F.array((s["key"] * F.lit(MULTIPLIER).cast("decimal(19,0)") + 1) % F.lit(str(WORD)).cast("decimal(20,0)")),
                     lambda k: state(
                         s["next"],
-                        F.floor((s["next"] + 1) * (F.lit(float(RANGE)) / (F.floor(k / HIGH_BITS) + 1).cast("double"))),
+                        F.floor((s["next"] + 1) * (F.lit(float(RANGE)) / (F.call_function("div", k, F.lit(HIGH_BITS)) + 1).cast("double"))),
                         k,
                     ),
                 ),
