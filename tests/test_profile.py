@@ -6,7 +6,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from vouch.operators.profile import column_sketches, merged_estimates, profile
+from vouch.operators.profile import column_sketches, completeness, merged_estimates, profile
 
 ROWS = [
     (1, 0.5, True, "a", None),
@@ -182,3 +182,11 @@ def test_merged_sketches_equal_one_over_all_rows(spark):
     assert by_name(profile({"t": df}, distinct="approx"))["n"].unique_count == alone["n"].unique_count
     again = by_name(merged_estimates(one.unionByName(one)))
     assert again["n"].unique_count == alone["n"].unique_count and again["n"].total_count == 60000
+
+
+def test_completeness_is_the_profile_without_values(spark, table):
+    tables = {"t": table, "e": table.limit(0)}
+    columns = ("table_name", "position", "column_name", "total_count", "null_count", "null_pct")
+    found = sorted((tuple(r) for r in completeness(tables).collect()), key=str)
+    assert found == sorted((tuple(r) for r in profile(tables, samples=False).select(*columns).collect()), key=str)
+    assert "SortMergeJoin" not in completeness({"t": table})._jdf.queryExecution().executedPlan().toString()

@@ -9,6 +9,10 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Tables that are written side by side.
+WRITERS = 8
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
@@ -44,7 +48,7 @@ def stage(tables: dict[str, DataFrame], folder: str | None = None) -> dict[str,
     def write(name: str) -> None:
         tables[name].write.mode("overwrite").parquet(f"{folder}/{name}")
 
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+    with ThreadPoolExecutor(max_workers=min(len(tables), WRITERS)) as pool:
         list(pool.map(write, tables))
     return {name: spark.read.parquet(f"{folder}/{name}") for name in tables}
 

@@ -17,7 +17,7 @@ from vouch.operators import marts
 from vouch.operators.audit import audit_log
 from vouch.operators.evaluate import RuleError, evaluate, isolated
 from vouch.operators.impact import downstream_impact, trigger_tables
-from vouch.operators.profile import column_sketches, merged_estimates, profile
+from vouch.operators.profile import column_sketches, completeness, merged_estimates, profile
 from vouch.operators.reconcile import count_records, reconcile
 from vouch.operators.runs import new_runs, run_record, run_summary
 from vouch.operators.score import score, total_issues, weight
@@ -179,11 +179,15 @@ def gov_dq_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dq_runs_append")
 def dq_runs_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run already recorded is kept as it was, a new one is added."""
-    tables = dirty(spark, sf_dir)
-    recorded = settle(run_record(evaluate(tables, rules_for(HEALTHCARE_RULES, "patients"), RUN_1)))
-    again = run_record(evaluate(tables, HEALTHCARE_RULES, RUN_1), triggered_by="again")
-    later = run_record(evaluate(tables, HEALTHCARE_RULES, RUN_2))
-    return _time_text(recorded.unionByName(new_runs(again.unionByName(later), recorded)))
+    folder = new_folder(spark)
+    try:
+        tables = stage(dirty(spark, sf_dir), folder)
+        recorded = settle(run_record(evaluate(tables, rules_for(HEALTHCARE_RULES, "patients"), RUN_1)))
+        again = run_record(evaluate(tables, HEALTHCARE_RULES, RUN_1), triggered_by="again")
+        later = run_record(evaluate(tables, HEALTHCARE_RULES, RUN_2))
+        return settle(_time_text(recorded.unionByName(new_runs(again.unionByName(later), recorded))))
+    finally:
+        remove(spark, folder)
 
 
 @query("dq_run_summary")
@@ -354,7 +358,7 @@ def profile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("profile_null_rank")
 def profile_null_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.profile_null_rank(_staged_profile(spark, sf_dir, "patients"), "patients")
+    return marts.profile_null_rank(completeness(dirty(spark, sf_dir, "patients")), "patients")
 
 
 @query("profile_uniqueness_rank")
@@ -384,6 +388,11 @@ UNION ALL SELECT 'lab_results', 2 * count(*) FROM {lineitem}
 """
 
 
+def _loaded(results: DataFrame) -> DataFrame:
+    """The records of each table, as the rules have counted them already."""
+    return results.groupBy("table_name").agg(F.max("total_records").alias("loaded_count"))
+
+
 def _reconciled(spark: SparkSession, sf_dir: str, counts: str = SOURCE_COUNTS) -> DataFrame:
     (sent,) = from_sql(spark, sf_dir, counts)
     return reconcile(dirty(spark, sf_dir), sent, CONTEXT)
@@ -411,7 +420,9 @@ def recon_display(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("record_flow")
 def record_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.record_flow(_reconciled(spark, sf_dir), _scores(spark, sf_dir))
+    results = settle(_results(spark, sf_dir))
+    (sent,) = from_sql(spark, sf_dir, SOURCE_COUNTS)
+    return marts.record_flow(reconcile({}, sent, CONTEXT, _loaded(results)), score(results))
 
 
 # --- impact
@@ -427,7 +438,7 @@ def report_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         "criticality",
         F.posexplode("tables").alias("position", "table_name"),
     )
-    return lines.join(count_records(dirty(spark, sf_dir)), "table_name")
+    return lines.join(_loaded(_results(spark, sf_dir)), "table_name")
 
 
 @query("impact_trigger_tables")
@@ -487,12 +498,13 @@ def audit_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("latest_dq_scores")
 def latest_dq_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest score per table over a history of three runs."""
-    tables = dirty(spark, sf_dir)
-    history = None
-    for ctx, names in HISTORY:
-        scores = score(evaluate(tables, rules_for(HEALTHCARE_RULES, *names), ctx))
-        history = scores if history is None else history.unionByName(scores)
-    return _time_text(latest_scores(history))
+    folder = new_folder(spark)
+    try:
+        tables = stage(dirty(spark, sf_dir), folder)
+        runs = [score(evaluate(tables, rules_for(HEALTHCARE_RULES, *names), ctx)) for ctx, names in HISTORY]
+        return settle(_time_text(latest_scores(union_all(runs))))
+    finally:
+        remove(spark, folder)
 
 
 @query("open_critical_issues")
