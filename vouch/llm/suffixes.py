@@ -46,6 +46,8 @@ PARTS = 4
 HOT = 16
 #: Places of a repeated doc_id: the number of the text above, the byte in it below this many bits.
 TEXT_BITS = 32
+#: Added to the places of texts whose doc_id is null; no text is so long.
+MISSING = 1 << 31
 #: Stands for a null doc_id, which comes after all others.
 LAST = (1 << 63) - 1
 
@@ -136,8 +138,11 @@ _SENT = "part int, base bigint, wide boolean, names binary, contexts binary, doc
 _RANKED = "doc bigint, start bigint, stop bigint, name bigint"
 
 
-def _send(found: list[tuple], parts: int) -> pd.DataFrame:
-    """The stretches of some texts, a row per part; as spans, those that repeat among them and those of hot names."""
+def _send(found: list[tuple], parts: int, opens: bool = True) -> pd.DataFrame:
+    """The stretches of some texts, a row per part; as spans, those that repeat among them and those of hot names.
+
+    Without ``opens`` no name is hot: strings that are ranked again have but one surrounding each.
+    """
     name, context, start, length, doc = (np.concatenate(x) for x in zip(*found, strict=True))
     order, of_context, _ = rank(name, context, doc)
     name, context, start, length, doc = (x[order] for x in (name, context, start, length, doc))
@@ -147,7 +152,7 @@ def _send(found: list[tuple], parts: int) -> pd.DataFrame:
     # the stretches of hot names are open at once; a row without length says so to the part of the name
     at = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
     new = np.concatenate(([True], (name[1:] != name[:-1]) | (context[1:] != context[:-1])))
-    many = np.add.reduceat(new.astype(np.int64), at) > HOT
+    many = (np.add.reduceat(new.astype(np.int64), at) > HOT) & opens
     hot = np.repeat(many, np.diff(np.append(at, len(name))))
     opened = [x[hot].astype("<i8") for x in (doc, start, start + length + LEAST - 1)]
     opened_names, marks = name[hot].view("<i8"), at[many]
@@ -257,10 +262,10 @@ def _strings(parts: int):
             found.append((names(octets, LEAST)[at], whole(names(octets, GRAM), at), start, np.ones(len(at), np.int64), doc))
             size += len(at)
             if size >= FLUSH:
-                yield _send(found, parts)
+                yield _send(found, parts, opens=False)
                 found, size = [], 0
         if found:
-            yield _send(found, parts)
+            yield _send(found, parts, opens=False)
 
     return send
 
@@ -280,8 +285,9 @@ def _based(docs: DataFrame) -> tuple[DataFrame, bool]:
         }
     )
     repeated = marked.groupBy("doc").count().where("count > 1").select("doc")
+    missing = F.when(F.col("doc_id").isNull(), MISSING).otherwise(0).cast("bigint")
     if repeated.isEmpty():
-        return marked.withColumn("base", F.lit(0).cast("bigint")), False
+        return marked.withColumn("base", missing), False
     marked = marked.withColumn("digest", F.sha2("octets", 256))
     texts = marked.select("doc", "digest").join(repeated, "doc", "left_semi").groupBy("doc", "digest").agg(F.count("*").alias("copies"))
     texts = settle(texts.withColumn("row", F.monotonically_increasing_id()))
@@ -294,7 +300,7 @@ def _based(docs: DataFrame) -> tuple[DataFrame, bool]:
     bases = settle(numbered.select("doc", "digest", "copies", base.alias("base")))
     total = bases.agg(F.sum("copies")).first()[0]
     joined = lookup(marked, bases, ["doc", "digest"], F.col("copies"), total).drop("digest", "copies")
-    return joined.withColumn("base", F.coalesce("base", F.lit(0).cast("bigint"))), True
+    return joined.withColumn("base", F.coalesce("base", F.lit(0).cast("bigint")) + missing), True
 
 
 def repeated_spans(based: DataFrame, repeats: bool) -> DataFrame:
@@ -305,10 +311,12 @@ def repeated_spans(based: DataFrame, repeats: bool) -> DataFrame:
     positions are written to the shared folder, which cuts the lineage.
     """
     spark = based.sparkSession
-    texts = based.select("doc", "base", "octets")
+    # the columns and their order are those that the spans are joined to, so that Spark shuffles the texts once
+    texts = based.select("doc", "octets", "base")
     if repeats:
-        alike = texts.where("base > 0").groupBy("doc", "base").agg(F.first("octets").alias("octets"))
-        texts = texts.where("base = 0").unionByName(alike)
+        numbered = _text_of("base") > 0
+        alike = texts.where(numbered).groupBy("doc", "base").agg(F.first("octets").alias("octets"))
+        texts = texts.where(~numbered).unionByName(alike)
     parts = PARTS * partitions(spark)
     sent = texts.mapInPandas(_positions(parts), _SENT)
     folder = new_folder(spark)
@@ -316,8 +324,10 @@ def repeated_spans(based: DataFrame, repeats: bool) -> DataFrame:
     ranked = spark.read.schema(_RANKED).parquet(folder)
     known = ranked.where("name is null").select("doc", "start", "stop")
     still = ranked.where("name is not null")
-    within = still.join(texts.withColumn("text", _text_of("base")), (still["doc"] == texts["doc"]) & (_text_of("start") == F.col("text")))
-    within = within.drop(texts["doc"])
+    if repeats:
+        within = still.withColumn("of", _text_of("start")).join(texts.withColumn("of", _text_of("base")), ["doc", "of"])
+    else:
+        within = still.join(texts, "doc")
     place, length = F.col("start") - F.col("base") + 1, F.col("stop") - F.col("start")
     own = F.substring("octets", place.cast("int"), length.cast("int"))
     fetched = within.select("doc", "start", own.alias("octets")).mapInPandas(_strings(parts), _SENT)
@@ -333,7 +343,10 @@ def _text_of(place: str) -> Column:
 def _with_spans(docs: DataFrame) -> DataFrame:
     """The documents with the spans of their text, which are no more than its bytes allow."""
     based, repeats = _based(docs)
-    spans = repeated_spans(based, repeats).groupBy("doc", _text_of("start").alias("of")).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    spans, listed = repeated_spans(based, repeats), F.collect_list(F.struct("start", "stop")).alias("spans")
+    if not repeats:
+        return based.join(spans.groupBy("doc").agg(listed), "doc", "left")
+    spans = spans.groupBy("doc", _text_of("start").alias("of")).agg(listed)
     return based.withColumn("of", _text_of("base")).join(spans, ["doc", "of"], "left")
 
 
@@ -361,12 +374,12 @@ def digests(docs: DataFrame) -> DataFrame:
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc, missing, base, octets, spans in zip(*(batch[c] for c in ("doc", "missing", "base", "octets", "spans")), strict=True):
+            for doc, base, octets, spans in zip(batch["doc"], batch["base"], batch["octets"], batch["spans"], strict=True):
                 left, removed, runs = _kept(octets, base, spans)
-                rows.append((doc, missing, len(octets), removed, runs, hashlib.sha256(left).hexdigest()))
+                rows.append((doc, bool(base & MISSING), len(octets), removed, runs, hashlib.sha256(left).hexdigest()))
             yield pd.DataFrame(rows, columns=["doc", "missing", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = _with_spans(docs.select("doc_id", "text")).select("doc", F.col("doc_id").isNull().alias("missing"), "base", "octets", "spans")
+    joined = _with_spans(docs.select("doc_id", "text")).select("doc", "octets", "base", "spans")
     found = joined.mapInPandas(each, "doc bigint, missing boolean, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     doc_id = F.when(~F.col("missing"), F.col("doc")).cast(docs.schema["doc_id"].dataType).alias("doc_id")
     return found.select(doc_id, "n_bytes", "n_removed", "n_spans", "kept_sha256")
