@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from conftest import DATA
 from helpers import as_set
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from vouch.functions.checks import at_least, custom, in_set, not_null, references, unique
@@ -201,3 +202,58 @@ def test_a_whole_run_outlives_a_bad_value(spark, ctx):
     sent = spark.createDataFrame([], "table_name string, source_count bigint")
     frames = run_all({"t": df}, ctx, sent, rules, [], errors=errors)
     assert frames["dq_results"].first().status == "PASS" and [e.rule_id for e in errors] == ["B"]
+
+
+def as_number(rule_id, table):
+    return Rule(rule_id, table, "Validity", "High", "text as a number", custom(lambda df: F.col("t").cast("int") > 5))
+
+
+def test_tables_that_fail_at_once_end_no_run(spark, ctx):
+    df = spark.createDataFrame([("x", 1)], "t string, n int")
+    tables = {f"t{i}": df for i in range(5)}
+    for attempt in (1, 2, 3):
+        # the tables of many rules, new in each attempt, keep the planner busy while the first ones fail
+        good = [rule(f"G{n}-{i}", at_least("n", 1000 * attempt + i), n) for n in ("t3", "t4") for i in range(60)]
+        errors = []
+        results = isolated(evaluate, tables, [as_number(f"B{n}", n) for n in ("t0", "t1", "t2")] + good, ctx, errors)
+        expected = {("Bt0", 1, 0), ("Bt1", 1, 0), ("Bt2", 1, 0)} | {(r.rule_id, 1, 1) for r in good}
+        assert as_set(results, "rule_id", "total_records", "failed_records") == expected
+        assert sorted(e.rule_id for e in errors) == ["Bt0", "Bt1", "Bt2"]
+        assert all("CAST_INVALID_INPUT" in e.message for e in errors)
+
+
+@pytest.fixture
+def not_adaptive(spark):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_a_bad_value_in_a_broadcast_ends_no_run(spark, ctx, not_adaptive):
+    df = spark.createDataFrame([("x", 1), ("y", 0)], "t string, n int")
+    divided = F.udf(lambda n: 1 // n > 5, "boolean")
+    rules = [
+        Rule("A", "t", "Validity", "High", "plain", at_least("n", 1)),
+        as_number("B", "t"),
+        Rule("C", "t", "Validity", "High", "division in Python", custom(lambda df: divided("n"))),
+    ]
+    errors = []
+    results = isolated(evaluate, {"t": df}, rules, ctx, errors)
+    assert as_set(results, "rule_id", "total_records", "failed_records") == {("A", 2, 1), ("B", 2, 0), ("C", 2, 0)}
+    assert [e.rule_id for e in errors] == ["B", "C"]
+    assert "CAST_INVALID_INPUT" in errors[0].message
+
+
+@pytest.mark.parametrize("tables", [1, 8])
+@pytest.mark.parametrize("adaptive", [True, False])
+def test_a_file_that_cannot_be_read_ends_the_run(spark, ctx, tmp_path, request, tables, adaptive):
+    if not adaptive:
+        request.getfixturevalue("not_adaptive")
+    (tmp_path / "broken.parquet").write_bytes(b"no Parquet at all")
+    df = spark.read.schema("t string, n int").parquet(str(tmp_path))
+    names = [f"t{i}" for i in range(tables)]
+    errors = []
+    with pytest.raises(Py4JJavaError, match="FAILED_READ_FILE"):
+        isolated(evaluate, dict.fromkeys(names, df), [as_number(f"B{n}", n) for n in names], ctx, errors)
+    assert errors == []

@@ -6,7 +6,8 @@ import logging
 from collections.abc import Callable, Collection
 from dataclasses import dataclass, replace
 
-from py4j.protocol import Py4JError
+from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JError, Py4JJavaError
 from pyspark.errors import (
     AnalysisException,
     ArithmeticException,
@@ -17,6 +18,7 @@ from pyspark.errors import (
     SparkNoSuchElementException,
     SparkRuntimeException,
 )
+from pyspark.errors.exceptions.captured import convert_exception
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,9 +131,12 @@ def isolated(
     found: list[RuleError] = []
     try:
         results = settle(evaluate(tables, rules, ctx, found, views))
-    except DATA_FAULTS as error:
+    except (*DATA_FAULTS, Py4JJavaError) as error:
+        fault = _data_fault(error)
+        if fault is None:
+            raise
         if len(rules) == 1:
-            _report(rules[0], str(error), errors)
+            _report(rules[0], str(fault), errors)
             return settle(evaluate(tables, [replace(rules[0], check=lambda df, as_of: F.lit(False))], ctx, None, views))
         names = list(dict.fromkeys(r.table_name for r in rules))
         parts = [[r for r in rules if r.table_name == n] for n in names]
@@ -142,6 +147,31 @@ def isolated(
     return results
 
 
+def _data_fault(error: Exception) -> Exception | None:
+    """The error of a value that a check cannot work with, whether raised as it is or wrapped."""
+    if isinstance(error, DATA_FAULTS):
+        return error
+    if not isinstance(error, Py4JJavaError):
+        return None
+    alone = map(convert_exception, _failures(error.java_exception))
+    return next((e for e in alone if isinstance(e, DATA_FAULTS)), None)
+
+
+def _failures(error: JavaObject) -> list[JavaObject]:
+    """The failures that Spark raises as one error.
+
+    With adaptive execution off, a failure in a broadcast comes as the cause of another error. With it
+    on, stages that fail at once come as one error: the first as its cause, the others suppressed.
+    What else has a cause, such as a file that cannot be read, is a failure of its own.
+    """
+    kind = error.getClass().getName()
+    if kind == "java.util.concurrent.ExecutionException":
+        return _failures(error.getCause())
+    if kind == "org.apache.spark.SparkException" and error.getCondition() == "STAGE_MATERIALIZATION_MULTIPLE_FAILURES":
+        return [f for e in (error.getCause(), *error.getSuppressed()) for f in _failures(e)]
+    return [error]
+
+
 def _tag(position: int) -> str:
     """The column that counts the failures of the rule at this position."""
     return f"{TAG}{position}"
