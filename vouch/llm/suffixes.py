@@ -10,10 +10,13 @@ at the position and h further on, until names are unique or long enough. Here:
   about sixteen is sent, with a name for the whole stretch of strings that it represents.
 * Spark deals the positions by name, each part sorts them, and those with a name that no
   other document has are dropped. Where all stretches of a name are equal, the smallest
-  doc_id is known. Only stretches that differ around an equal name are ranked again, at
-  ``LEAST`` bytes, past which no longer prefix is asked for; Spark deals those by the names of
-  ``LEAST`` bytes. A name with many surroundings in a task goes there without being ranked
-  first, so however many it has they never meet in one task.
+  doc_id is known. Only stretches that differ around an equal name are ranked again, by the
+  smallest of longer names (``GRAMS``), which ever fewer strings share by chance, and at last by
+  the names of ``LEAST`` bytes themselves, past which no longer prefix is asked for. A name with
+  many surroundings in a task goes on without being ranked first, so however many it has they
+  never meet in one task.
+* A ranking's result is written to the shared folder and its shuffle files go, so the disk holds one
+  ranking at a time, of positions or of the strings still open, but never of every string.
 
 Bytes are never compared, only names. Of m different surroundings of one string of ``GRAM`` bytes
 about m * m / 2^65 pairs have the same 64-bit name of the whole stretch and count as equal:
@@ -27,15 +30,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vouch.llm.frames import partitions, releasing
 from vouch.llm.skew import lookup
-from vouch.sources.staging import new_folder, settle
+from vouch.sources.staging import passed, remove, settle
 
 LEAST = 50
 GRAM = 20
+#: Bytes of the names that the strings are ranked by, one ranking after the other.
+GRAMS = (GRAM, 35, 43, LEAST)
 #: Strings of a stretch: two names of LEAST bytes, of its first and last one, cover it.
 STRETCH = 32
 #: Positions that a task sorts and sends at once.
@@ -44,6 +49,8 @@ FLUSH = 1 << 19
 PARTS = 4
 #: A name with more different surroundings than this in what a task sends at once is ranked by its strings.
 HOT = 16
+#: Texts whose places a task lists at once.
+TEXTS = 10_000
 #: Places of a repeated doc_id: the number of the text above, the byte in it below this many bits.
 TEXT_BITS = 32
 #: Added to the places of texts whose doc_id is null; no text is so long.
@@ -75,21 +82,39 @@ def whole(short: np.ndarray, at: np.ndarray) -> np.ndarray:
     return pair(pair(short[at], short[at + GRAM]), pair(short[at + half], short[at + LEAST - GRAM]))
 
 
-def stretches(octets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Name, name of the whole, first string and number of strings of each stretch of a text."""
+def stretches(octets: np.ndarray, gram: int = GRAM, pieces: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Name, name of the whole, first string and number of strings of each stretch of a text.
+
+    ``pieces``: the bytes of each of several texts that ``octets`` holds one after the other. No stretch
+    goes on into the next one.
+    """
     short = names(octets, GRAM)
-    count, span = len(octets) - LEAST + 1, LEAST - GRAM + 1
-    least, h = short, 1
+    count, span = len(octets) - LEAST + 1, LEAST - gram + 1
+    least, h = short if gram == GRAM else names(octets, gram), 1
     while 2 * h <= span:
         least, h = np.minimum(least[:-h], least[h:]), 2 * h
     least = np.minimum(least[:count], least[span - h : span - h + count])
-    first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    lengths = np.diff(np.append(first, count))
-    if lengths.max() > STRETCH:
-        pieces = -(-lengths // STRETCH)
-        number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        first = np.repeat(first, pieces) + number * STRETCH
+    # strings ranked by all their bytes go one by one: of those in a row with one name some may be repeats, others not
+    new = np.concatenate(([True], (least[1:] != least[:-1]) | (gram == LEAST)))
+    if pieces is None:
+        first = np.flatnonzero(new)
+        lengths = np.diff(np.append(first, count))
+    else:
+        # strings that begin in one piece and end in the next one are none: a stretch may end, but not begin with them
+        stops = np.cumsum(pieces)
+        new[stops[:-1]] = True
+        new[stops[:-1] - LEAST + 1] = True
+        first = np.flatnonzero(new)
         lengths = np.diff(np.append(first, count))
+        own = np.searchsorted(stops, first, "right")
+        real = first + LEAST <= stops[own]
+        first, lengths = first[real], lengths[real]
+    if lengths.max() > STRETCH:
+        parts = -(-lengths // STRETCH)
+        number = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        ends = np.repeat(first + lengths, parts)
+        first = np.repeat(first, parts) + number * STRETCH
+        lengths = np.minimum(ends - first, STRETCH)
     last = first + lengths - 1
     context = pair(whole(short, first), whole(short, last)) + lengths.astype(np.uint64) * _K2
     return least[first], context, first, lengths
@@ -135,7 +160,8 @@ def rank(name: np.ndarray, context: np.ndarray, doc: np.ndarray) -> tuple[np.nda
 
 
 _SENT = "part int, base bigint, wide boolean, names binary, contexts binary, docs binary, starts binary, lengths binary"
-_RANKED = "doc bigint, start bigint, stop bigint, name bigint"
+_RANKED = "bucket int, open boolean, docs binary, starts binary, lengths binary"
+_LISTED = "doc bigint, of bigint, starts binary, stops binary"
 
 
 def _send(found: list[tuple], parts: int, opens: bool = True) -> pd.DataFrame:
@@ -154,8 +180,7 @@ def _send(found: list[tuple], parts: int, opens: bool = True) -> pd.DataFrame:
     new = np.concatenate(([True], (name[1:] != name[:-1]) | (context[1:] != context[:-1])))
     many = (np.add.reduceat(new.astype(np.int64), at) > HOT) & opens
     hot = np.repeat(many, np.diff(np.append(at, len(name))))
-    opened = [x[hot].astype("<i8") for x in (doc, start, start + length + LEAST - 1)]
-    opened_names, marks = name[hot].view("<i8"), at[many]
+    opened, marks = [x[hot] for x in (doc, start, start + length)], at[many]
     name, context, start, length, doc = (
         np.concatenate((x[~hot], y)) for x, y in zip((name, context, start, length, doc), (name[marks], context[marks], start[marks], 0 * length[marks], doc[marks]), strict=True)
     )
@@ -171,11 +196,12 @@ def _send(found: list[tuple], parts: int, opens: bool = True) -> pd.DataFrame:
         for p, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
         if b > a
     ]
+    # known spans go without names, open ones without contexts; what the part's task gets it passes on
     if len(spans):
-        known = [spans[c].to_numpy().astype("<i8").tobytes() for c in ("doc", "start", "stop")]
-        rows.append((int(start.sum()) % parts, 0, True, None, None, *known))
-    if len(opened_names):
-        rows.append((int(opened[1].sum()) % parts, 0, True, None, opened_names.tobytes(), *[x.tobytes() for x in opened]))
+        known = [_packed(spans[c].to_numpy(), "<i8") for c in ("doc", "start", "stop")]
+        rows.append((int(start.sum()) % parts, 0, True, None, b"", *known))
+    if len(opened[0]):
+        rows.append((int(opened[1].sum()) % parts, 0, True, None, None, *[_packed(x, "<i8") for x in opened]))
     return pd.DataFrame(rows, columns=["part", "base", "wide", "names", "contexts", "docs", "starts", "lengths"])
 
 
@@ -199,73 +225,128 @@ def _positions(parts: int):
     return send
 
 
-@releasing
-def _ranked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Spans of strings known from an earlier document, without a name; what is still open, with one."""
-    fields: list[list[np.ndarray]] = [[], [], [], [], []]
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            if row.names is None:
-                doc, start, stop = (np.frombuffer(x, "<i8") for x in (row.docs, row.starts, row.lengths))
-                name = None if row.contexts is None else np.frombuffer(row.contexts, "<i8")
-                yield pd.DataFrame({"doc": doc, "start": start, "stop": stop, "name": name})
-                continue
-            kinds = ("<u8", "<u8", *["<u8" if row.wide else "<u4"] * 2, "u1")
-            sent = (row.names, row.contexts, row.docs, row.starts, row.lengths)
-            values = [_unpacked(x, k) for x, k in zip(sent, kinds, strict=True)]
-            values[2] = values[2].astype(np.int64) + row.base
-            for store, x in zip(fields, values, strict=True):
-                store.append(x)
-    if not fields[0]:
-        return
-    name, context, doc, start, length = (np.concatenate(x) for x in fields)
-    hot, real = np.unique(name[length == 0]), length > 0
-    if not real.any():
-        return
-    name, context, doc, start, length = (x[real] for x in (name, context, doc, start, length))
-    order, of_context, of_name = rank(name, context, doc)
-    name, doc, start, length = name[order], doc[order], start[order].astype(np.int64), length[order].astype(np.int64)
-    again = doc > of_context
-    spans = merged(doc[again], start[again], (start + length)[again] + LEAST - 1)
-    yield spans.assign(name=None)
-    # where an earlier document has the name too, but in other surroundings, all surroundings are compared
-    at = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
-    latest = np.maximum.reduceat(of_context, at)
-    mixed = np.repeat(latest, np.diff(np.append(at, len(name)))) > of_name
-    is_open = (mixed | np.isin(name, hot)) & ~again
-    yield pd.DataFrame(
-        {
-            "doc": doc[is_open],
-            "start": start[is_open],
-            "stop": (start + length)[is_open] + LEAST - 1,
-            "name": name[is_open].view(np.int64),
-        }
-    )
+def _dealt(doc: np.ndarray, start: np.ndarray, stop: np.ndarray, is_open: bool, parts: int) -> pd.DataFrame:
+    """Places of texts, those that touch joined to one, a row for each bucket of texts."""
+    spans = merged(doc, start, stop)
+    doc, start, stop = (spans[c].to_numpy(np.int64) for c in ("doc", "start", "stop"))
+    bucket = (pair(doc.view(np.uint64), (start >> TEXT_BITS).view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    doc, start, length = doc[order], start[order], (stop - start)[order]
+    edges = np.searchsorted(bucket[order], np.arange(parts + 1))
+    rows = [
+        (p, is_open, _packed(np.diff(doc[a:b], prepend=0), "<i8"), _packed(start[a:b], "<i8"), _packed(length[a:b], "<u4"))
+        for p, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+        if b > a
+    ]
+    return pd.DataFrame(rows, columns=["bucket", "open", "docs", "starts", "lengths"])
 
 
-def _strings(parts: int):
-    """The strings of LEAST bytes of open stretches, sent as stretches of one string with two names."""
+def _ranked(parts: int, opens: bool = True):
+    """Spans of strings known from an earlier document, and ranges of strings that are still open, by bucket."""
+
+    @releasing
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fields: list[list[np.ndarray]] = [[], [], [], [], []]
+        places: dict[bool, list[tuple]] = {False: [], True: []}
+        sizes = {False: 0, True: 0}
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                if row.names is None:
+                    is_open = row.contexts is None
+                    places[is_open].append(tuple(_unpacked(x, "<i8") for x in (row.docs, row.starts, row.lengths)))
+                    sizes[is_open] += len(places[is_open][-1][0])
+                    if sizes[is_open] >= FLUSH:
+                        yield _dealt(*(np.concatenate(x) for x in zip(*places[is_open], strict=True)), is_open, parts)
+                        places[is_open], sizes[is_open] = [], 0
+                    continue
+                kinds = ("<u8", "<u8", *["<u8" if row.wide else "<u4"] * 2, "u1")
+                sent = (row.names, row.contexts, row.docs, row.starts, row.lengths)
+                values = [_unpacked(x, k) for x, k in zip(sent, kinds, strict=True)]
+                values[2] = values[2].astype(np.int64) + row.base
+                for store, x in zip(fields, values, strict=True):
+                    store.append(x)
+        if fields[0]:
+            name, context, doc, start, length = (np.concatenate(x) for x in fields)
+            fields.clear()
+            hot, real = np.unique(name[length == 0]), length > 0
+            name, context, doc, start, length = (x[real] for x in (name, context, doc, start, length))
+            if len(name):
+                order, of_context, of_name = rank(name, context, doc)
+                name, doc, start, length = name[order], doc[order], start[order].astype(np.int64), length[order].astype(np.int64)
+                again = doc > of_context
+                places[False].append((doc[again], start[again], (start + length)[again] + LEAST - 1))
+                # where an earlier document has the name too, but in other surroundings, all surroundings are compared
+                at = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
+                latest = np.maximum.reduceat(of_context, at)
+                mixed = np.repeat(latest, np.diff(np.append(at, len(name)))) > of_name
+                is_open = (mixed | np.isin(name, hot)) & ~again
+                places[True].append((doc[is_open], start[is_open], (start + length)[is_open]))
+        for is_open, listed in places.items():
+            if listed and (opens or not is_open):
+                yield _dealt(*(np.concatenate(x) for x in zip(*listed, strict=True)), is_open, parts)
+
+    return each
+
+
+@releasing
+def _listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The places of each text, those that touch joined to one, a row per text."""
+    found = [
+        (np.cumsum(_unpacked(d, "<i8")), _unpacked(s, "<i8"), _unpacked(n, "<u4").astype(np.int64))
+        for batch in batches
+        for d, s, n in zip(batch["docs"], batch["starts"], batch["lengths"], strict=True)
+    ]
+    if not found:
+        return
+    doc, start, length = (np.concatenate(x) for x in zip(*found, strict=True))
+    spans = merged(doc, start, start + length)
+    doc, start, stop = (spans[c].to_numpy(np.int64) for c in ("doc", "start", "stop"))
+    of = start >> TEXT_BITS
+    first = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (of[1:] != of[:-1]))))
+    edges = np.append(first, len(doc)).tolist()
+    for a in range(0, len(first), TEXTS):
+        b = min(a + TEXTS, len(first))
+        cuts = list(zip(edges[a:b], edges[a + 1 : b + 1], strict=True))
+        starts, stops = ([x[i:j].tobytes() for i, j in cuts] for x in (start, stop))
+        yield pd.DataFrame({"doc": doc[first[a:b]], "of": of[first[a:b]], "starts": starts, "stops": stops})
+
+
+def _strings(parts: int, gram: int):
+    """The stretches, by the smallest name of ``gram`` bytes, of the strings that are open in each text."""
 
     @releasing
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found, size = [], 0
+        pieces, docs, starts, found, size = [], [], [], [], 0
+
+        def cut() -> tuple:
+            sizes = np.array([len(x) for x in pieces], np.int64)
+            name, context, first, lengths = stretches(np.frombuffer(b"".join(pieces), np.uint8), gram, sizes)
+            own = np.searchsorted(np.cumsum(sizes), first, "right")
+            place = first - (np.cumsum(sizes) - sizes)[own] + np.array(starts, np.int64)[own]
+            return name, context, place, lengths, np.array(docs, np.int64)[own]
+
+        def sent(found: list[tuple]) -> pd.DataFrame:
+            return _send(found, parts, opens=gram < LEAST)
+
+        octets = 0
         for batch in batches:
-            if not len(batch):
-                continue
-            octets = np.frombuffer(b"".join(batch["octets"]), np.uint8)
-            sizes = batch["octets"].map(len).to_numpy(np.int64)
-            counts = sizes - LEAST + 1
-            inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            at = np.repeat(np.cumsum(sizes) - sizes, counts) + inside
-            doc = np.repeat(batch["doc"].to_numpy(np.int64), counts)
-            start = np.repeat(batch["start"].to_numpy(np.int64), counts) + inside
-            found.append((names(octets, LEAST)[at], whole(names(octets, GRAM), at), start, np.ones(len(at), np.int64), doc))
-            size += len(at)
-            if size >= FLUSH:
-                yield _send(found, parts, opens=False)
-                found, size = [], 0
+            for doc, base, text, first, stop in zip(*(batch[c] for c in ("doc", "base", "octets", "starts", "stops")), strict=True):
+                for a, b in zip(np.frombuffer(first, "<i8").tolist(), np.frombuffer(stop, "<i8").tolist(), strict=True):
+                    pieces.append(text[a - base : b - base + LEAST - 1])
+                    docs.append(doc)
+                    starts.append(a)
+                    octets += b - a + LEAST - 1
+                if octets >= FLUSH:
+                    found.append(cut())
+                    size += len(found[-1][0])
+                    pieces, docs, starts, octets = [], [], [], 0
+                    if size >= FLUSH:
+                        yield sent(found)
+                        found, size = [], 0
+        if pieces:
+            found.append(cut())
         if found:
-            yield _send(found, parts, opens=False)
+            yield sent(found)
 
     return send
 
@@ -304,35 +385,42 @@ def _based(docs: DataFrame) -> tuple[DataFrame, bool]:
 
 
 def repeated_spans(based: DataFrame, repeats: bool) -> DataFrame:
-    """(doc, start, stop): all bytes of strings that also start in a document of smaller doc_id.
+    """(doc, of, starts, stops): all bytes of strings that also start in a document of smaller doc_id, a row per text.
 
     Positions go to the parts by name; copies within a task are settled there and only the
-    first goes on, so a passage that many documents share costs a row per task. The ranked
-    positions are written to the shared folder, which cuts the lineage.
+    first goes on, so a passage that many documents share costs a row per task. What a ranking
+    finds goes to the shared folder, which cuts the lineage and lets its shuffle files go.
     """
     spark = based.sparkSession
-    # the columns and their order are those that the spans are joined to, so that Spark shuffles the texts once
     texts = based.select("doc", "octets", "base")
     if repeats:
         numbered = _text_of("base") > 0
         alike = texts.where(numbered).groupBy("doc", "base").agg(F.first("octets").alias("octets"))
         texts = texts.where(~numbered).unionByName(alike)
-    parts = PARTS * partitions(spark)
-    sent = texts.mapInPandas(_positions(parts), _SENT)
-    folder = new_folder(spark)
-    sent.repartition(partitions(spark), "part").mapInPandas(_ranked, _RANKED).write.parquet(folder)
-    ranked = spark.read.schema(_RANKED).parquet(folder)
-    known = ranked.where("name is null").select("doc", "start", "stop")
-    still = ranked.where("name is not null")
-    if repeats:
-        within = still.withColumn("of", _text_of("start")).join(texts.withColumn("of", _text_of("base")), ["doc", "of"])
-    else:
-        within = still.join(texts, "doc")
-    place, length = F.col("start") - F.col("base") + 1, F.col("stop") - F.col("start")
-    own = F.substring("octets", place.cast("int"), length.cast("int"))
-    fetched = within.select("doc", "start", own.alias("octets")).mapInPandas(_strings(parts), _SENT)
-    again = fetched.repartition(partitions(spark), "part").mapInPandas(_ranked, _RANKED).where("name is null")
-    return known.unionAll(again.select("doc", "start", "stop"))
+    parts, folders = PARTS * partitions(spark), []
+    for gram in GRAMS:
+        if not folders:
+            sent = texts.mapInPandas(_positions(parts), _SENT)
+        else:
+            still = _places(spark, folders[-1:], True)
+            if still.isEmpty():
+                break
+            places = still.repartition(partitions(spark), "bucket").mapInPandas(_listed, _LISTED)
+            within = texts.withColumn("of", _text_of("base")).join(places, ["doc", "of"])
+            sent = within.select("doc", "base", "octets", "starts", "stops").mapInPandas(_strings(parts, gram), _SENT)
+        ranked = sent.repartition(partitions(spark), "part").mapInPandas(_ranked(parts, gram < LEAST), _RANKED)
+        folders.append(passed(ranked))
+    known = _places(spark, folders, False).repartition(partitions(spark), "bucket")
+    listed = passed(known.mapInPandas(_listed, _LISTED))
+    for folder in folders:
+        remove(spark, folder)
+    return spark.read.schema(_LISTED).parquet(listed)
+
+
+def _places(spark: SparkSession, folders: list[str], is_open: bool) -> DataFrame:
+    """The known or the open places that rankings wrote."""
+    written = spark.read.schema(_RANKED).parquet(*folders)
+    return written.where(F.col("open") == is_open).select("bucket", "docs", "starts", "lengths")
 
 
 def _text_of(place: str) -> Column:
@@ -343,25 +431,17 @@ def _text_of(place: str) -> Column:
 def _with_spans(docs: DataFrame) -> DataFrame:
     """The documents with the spans of their text, which are no more than its bytes allow."""
     based, repeats = _based(docs)
-    spans, listed = repeated_spans(based, repeats), F.collect_list(F.struct("start", "stop")).alias("spans")
-    if not repeats:
-        return based.join(spans.groupBy("doc").agg(listed), "doc", "left")
-    spans = spans.groupBy("doc", _text_of("start").alias("of")).agg(listed)
+    spans = repeated_spans(based, repeats)
     return based.withColumn("of", _text_of("base")).join(spans, ["doc", "of"], "left")
 
 
-def _kept(octets: bytes, base: int, spans: list | None) -> tuple[bytes, int, int]:
+def _kept(octets: bytes, base: int, starts: bytes | None, stops: bytes | None) -> tuple[bytes, int, int]:
     """What is left of a text, the number of removed bytes and of removed runs."""
-    ends = [(s["start"] - base, s["stop"] - base) for s in (spans if spans is not None else ())]
-    parts, at, runs, stop = [], 0, 0, -1
-    for a, b in sorted(ends):
-        if a > stop:
-            parts.append(octets[at:a])
-            runs += 1
-        stop = at = max(stop, b, at)
-    parts.append(octets[at:])
-    left = b"".join(parts)
-    return left, len(octets) - len(left), runs
+    if starts is None:
+        return octets, 0, 0
+    ends = [(np.frombuffer(x, "<i8") - base).tolist() for x in (starts, stops)]
+    left = b"".join(octets[a:b] for a, b in zip([0, *ends[1]], [*ends[0], len(octets)], strict=True))
+    return left, len(octets) - len(left), len(ends[0])
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -374,12 +454,12 @@ def digests(docs: DataFrame) -> DataFrame:
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc, base, octets, spans in zip(batch["doc"], batch["base"], batch["octets"], batch["spans"], strict=True):
-                left, removed, runs = _kept(octets, base, spans)
+            for doc, base, octets, starts, stops in zip(*(batch[c] for c in ("doc", "base", "octets", "starts", "stops")), strict=True):
+                left, removed, runs = _kept(octets, base, starts, stops)
                 rows.append((doc, bool(base & MISSING), len(octets), removed, runs, hashlib.sha256(left).hexdigest()))
             yield pd.DataFrame(rows, columns=["doc", "missing", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = _with_spans(docs.select("doc_id", "text")).select("doc", "octets", "base", "spans")
+    joined = _with_spans(docs.select("doc_id", "text")).select("doc", "octets", "base", "starts", "stops")
     found = joined.mapInPandas(each, "doc bigint, missing boolean, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     doc_id = F.when(~F.col("missing"), F.col("doc")).cast(docs.schema["doc_id"].dataType).alias("doc_id")
     return found.select(doc_id, "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -391,16 +471,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     Where a removed run cuts through a character, its other bytes go too. A null text stays null.
     """
 
-    def cleaned(octets: Column, base: Column, spans: Column) -> Column:
-        @F.pandas_udf("string")
-        def clean(octets: pd.Series, base: pd.Series, spans: pd.Series) -> pd.Series:
-            rows = zip(octets, base, spans, strict=True)
-            return pd.Series([None if o is None else _kept(o, b, s)[0].decode("utf-8", "ignore") for o, b, s in rows], dtype=object)
-
-        return clean(octets, base, spans)
+    @F.pandas_udf("string")
+    def clean(octets: pd.Series, base: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.Series:
+        rows = zip(octets, base, starts, stops, strict=True)
+        return pd.Series([None if o is None else _kept(o, *x)[0].decode("utf-8", "ignore") for o, *x in rows], dtype=object)
 
     narrow = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)], "doc_id", "text")
     joined = _with_spans(narrow)
-    text = cleaned(F.col("text").cast("binary"), F.col("base"), F.col("spans"))
+    text = clean(F.col("text").cast("binary"), "base", "starts", "stops")
     columns = [(text if c == "text" else F.col(f"c{k}")).alias(c) for k, c in enumerate(docs.columns)]
     return joined.select(*columns)
