@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -307,6 +308,59 @@ def test_hot_names_match_brute_force(docs, rows, monkeypatch, hot):
     same(suffixes.digests(docs).collect(), repeats(rows))
 
 
+def left_by_shuffles(spark, wait=0):
+    """Bytes that shuffles still hold on disk; files go a moment after the query that wrote them."""
+    context = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    for _ in range(wait + 1):
+        files = context.blockManager().diskBlockManager().getAllFiles()
+        held = {f.getPath(): f.length() for f in (files.apply(k) for k in range(files.size())) if f.getName().startswith("shuffle_")}
+        yield held
+        time.sleep(0.5)
+
+
+@pytest.mark.parametrize("query", [suffixes.digests, suffixes.remove_repeats])
+def test_a_ranking_leaves_no_shuffle_files(spark, query):
+    rng = random.Random(5)
+    passages = ["".join(rng.choice("abcdefghijklmnop") for _ in range(90)) for _ in range(40)]
+    given = [(k, rng.choice(passages) + "".join(rng.choice("abcdefghijklmnop") for _ in range(2000)) + rng.choice(passages), "") for k in range(300)]
+    before = next(left_by_shuffles(spark))
+    query(spark.createDataFrame(given, "doc_id bigint, text string, lang string"))  # all rankings; what reads their result has yet to run
+    assert any(sum(n for f, n in held.items() if f not in before) < 100_000 for held in left_by_shuffles(spark, 10))
+
+
+def test_strings_around_a_shared_one_are_not_all_sent(spark, monkeypatch, tmp_path):
+    rng, send, sizes = random.Random(4), suffixes._send, str(tmp_path / "sizes")
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    # the string in the middle has the smallest name of all 20-byte strings of these texts
+    found = [letters(30) + "nxuyerolwsvxitldblsz" + letters(30) for _ in range(300)]
+    given = [(k, found[k - 7][:k % 80] + t[k % 80 :] if k % 5 == 4 and k > 7 else t, None) for k, t in enumerate(found)]
+
+    def counted(found, *args, **kwargs):
+        with open(sizes, "a") as file:
+            file.write(f"{sum(len(x[0]) for x in found)}\n")
+        return send(found, *args, **kwargs)
+
+    monkeypatch.setattr(suffixes, "_send", counted)
+    same(suffixes.digests(spark.createDataFrame(given, DOCS)).collect(), repeats(given))
+    # 31 strings of each text have the shared one; hardly any of them repeats
+    with open(sizes) as file:
+        assert sum(map(int, file)) < 15 * len(given)
+
+
+def test_places_of_strings_in_several_pieces():
+    rng = random.Random(6)
+    pieces = ["".join(rng.choice("ab") for _ in range(n)).encode() for n in (50, 51, 120, 50, 300)]
+    pieces.append(b"a" * 200)
+    for gram in suffixes.GRAMS:
+        alone = []
+        for k, piece in enumerate(pieces):
+            at = sum(map(len, pieces[:k]))
+            alone += [(n, c, at + f, m) for n, c, f, m in zip(*suffixes.stretches(np.frombuffer(piece, np.uint8), gram), strict=True)]
+        sizes = np.array([len(x) for x in pieces])
+        assert list(zip(*suffixes.stretches(np.frombuffer(b"".join(pieces), np.uint8), gram, sizes), strict=True)) == alone
+        assert sum(x[3] for x in alone) == sum(len(x) - 49 for x in pieces)
+
+
 # --- op6
 
 
