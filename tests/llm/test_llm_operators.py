@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from vouch.llm import bpe, embeddings, language, packing, quality, sharding, simhash, suffixes, tool_calls, urls
+from vouch.llm import bpe, embeddings, frames, language, packing, quality, sharding, simhash, suffixes, tool_calls, urls
 from vouch.llm.components import connected_components
 from vouch.llm.queries import URL_RULES, vocabulary
 
@@ -347,6 +347,13 @@ def test_strings_around_a_shared_one_are_not_all_sent(spark, monkeypatch, tmp_pa
         assert sum(map(int, file)) < 15 * len(given)
 
 
+@pytest.mark.parametrize("count", [1, 12, 51, 211])
+def test_even_keys_meet_in_no_partition(spark, count):
+    keys = spark.createDataFrame([(k,) for k in frames.even_keys(count).tolist()], "part int").repartition(count, "part")
+    found = keys.select("part", F.spark_partition_id().alias("at")).orderBy("at").collect()
+    assert [(r.part, r.at) for r in found] == list(zip(frames.even_keys(count).tolist(), range(count), strict=True))
+
+
 def test_places_of_strings_in_several_pieces():
     rng = random.Random(6)
     pieces = ["".join(rng.choice("ab") for _ in range(n)).encode() for n in (50, 51, 120, 50, 300)]

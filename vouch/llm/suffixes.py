@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vouch.llm.frames import partitions, releasing
+from vouch.llm.frames import even_keys, partitions, releasing
 from vouch.llm.skew import lookup
 from vouch.sources.staging import passed, remove, settle
 
@@ -45,8 +45,6 @@ GRAMS = (GRAM, 35, 43, LEAST)
 STRETCH = 32
 #: Positions that a task sorts and sends at once.
 FLUSH = 1 << 19
-#: Parts that the positions are dealt into, per shuffle partition.
-PARTS = 4
 #: A name with more different surroundings than this in what a task sends at once is ranked by its strings.
 HOT = 16
 #: Texts whose places a task lists at once.
@@ -164,7 +162,7 @@ _RANKED = "bucket int, open boolean, docs binary, starts binary, lengths binary"
 _LISTED = "doc bigint, of bigint, starts binary, stops binary"
 
 
-def _send(found: list[tuple], parts: int, opens: bool = True) -> pd.DataFrame:
+def _send(found: list[tuple], parts: np.ndarray, opens: bool = True) -> pd.DataFrame:
     """The stretches of some texts, a row per part; as spans, those that repeat among them and those of hot names.
 
     Without ``opens`` no name is hot: strings that are ranked again have but one surrounding each.
@@ -187,25 +185,25 @@ def _send(found: list[tuple], parts: int, opens: bool = True) -> pd.DataFrame:
     base = int(doc.min())
     wide = max(int(doc.max()) - base, int(start.max())) >= 1 << 32
     kinds = ("<u8", "<u8", *["<u8" if wide else "<u4"] * 2, "u1")
-    part = (name % np.uint64(parts)).astype(np.int64)
+    part = (name % np.uint64(len(parts))).astype(np.int64)
     order = np.argsort(part, kind="stable")
-    edges = np.searchsorted(part[order], np.arange(parts + 1))
+    edges = np.searchsorted(part[order], np.arange(len(parts) + 1))
     columns = [(x[order], k) for x, k in zip((name, context, doc - base, start, length), kinds, strict=True)]
     rows = [
         (p, base, wide, *[_packed(x[a:b], k) for x, k in columns])
-        for p, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+        for p, a, b in zip(parts.tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True)
         if b > a
     ]
     # known spans go without names, open ones without contexts; what the part's task gets it passes on
     if len(spans):
         known = [_packed(spans[c].to_numpy(), "<i8") for c in ("doc", "start", "stop")]
-        rows.append((int(start.sum()) % parts, 0, True, None, b"", *known))
+        rows.append((int(parts[int(start.sum()) % len(parts)]), 0, True, None, b"", *known))
     if len(opened[0]):
-        rows.append((int(opened[1].sum()) % parts, 0, True, None, None, *[_packed(x, "<i8") for x in opened]))
+        rows.append((int(parts[int(opened[1].sum()) % len(parts)]), 0, True, None, None, *[_packed(x, "<i8") for x in opened]))
     return pd.DataFrame(rows, columns=["part", "base", "wide", "names", "contexts", "docs", "starts", "lengths"])
 
 
-def _positions(parts: int):
+def _positions(parts: np.ndarray):
     @releasing
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found, size = [], 0
@@ -225,23 +223,23 @@ def _positions(parts: int):
     return send
 
 
-def _dealt(doc: np.ndarray, start: np.ndarray, stop: np.ndarray, is_open: bool, parts: int) -> pd.DataFrame:
+def _dealt(doc: np.ndarray, start: np.ndarray, stop: np.ndarray, is_open: bool, parts: np.ndarray) -> pd.DataFrame:
     """Places of texts, those that touch joined to one, a row for each bucket of texts."""
     spans = merged(doc, start, stop)
     doc, start, stop = (spans[c].to_numpy(np.int64) for c in ("doc", "start", "stop"))
-    bucket = (pair(doc.view(np.uint64), (start >> TEXT_BITS).view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    bucket = (pair(doc.view(np.uint64), (start >> TEXT_BITS).view(np.uint64)) % np.uint64(len(parts))).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     doc, start, length = doc[order], start[order], (stop - start)[order]
-    edges = np.searchsorted(bucket[order], np.arange(parts + 1))
+    edges = np.searchsorted(bucket[order], np.arange(len(parts) + 1))
     rows = [
         (p, is_open, _packed(np.diff(doc[a:b], prepend=0), "<i8"), _packed(start[a:b], "<i8"), _packed(length[a:b], "<u4"))
-        for p, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+        for p, a, b in zip(parts.tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True)
         if b > a
     ]
     return pd.DataFrame(rows, columns=["bucket", "open", "docs", "starts", "lengths"])
 
 
-def _ranked(parts: int, opens: bool = True):
+def _ranked(parts: np.ndarray, opens: bool = True):
     """Spans of strings known from an earlier document, and ranges of strings that are still open, by bucket."""
 
     @releasing
@@ -311,7 +309,7 @@ def _listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc": doc[first[a:b]], "of": of[first[a:b]], "starts": starts, "stops": stops})
 
 
-def _strings(parts: int, gram: int):
+def _strings(parts: np.ndarray, gram: int):
     """The stretches, by the smallest name of ``gram`` bytes, of the strings that are open in each text."""
 
     @releasing
@@ -397,7 +395,7 @@ def repeated_spans(based: DataFrame, repeats: bool) -> DataFrame:
         numbered = _text_of("base") > 0
         alike = texts.where(numbered).groupBy("doc", "base").agg(F.first("octets").alias("octets"))
         texts = texts.where(~numbered).unionByName(alike)
-    parts, folders = PARTS * partitions(spark), []
+    parts, folders = even_keys(partitions(spark)), []
     for gram in GRAMS:
         if not folders:
             sent = texts.mapInPandas(_positions(parts), _SENT)
