@@ -158,7 +158,8 @@ def rank(name: np.ndarray, context: np.ndarray, doc: np.ndarray) -> tuple[np.nda
 
 
 _SENT = "part int, base bigint, wide boolean, names binary, contexts binary, docs binary, starts binary, lengths binary"
-_RANKED = "bucket int, open boolean, docs binary, starts binary, lengths binary"
+_PLACES = [["docs", "starts", "lengths"], ["open_docs", "open_starts", "open_lengths"]]
+_RANKED = ", ".join(["bucket int", *[f"{c} binary" for columns in _PLACES for c in columns]])
 _LISTED = "doc bigint, of bigint, starts binary, stops binary"
 
 
@@ -223,20 +224,23 @@ def _positions(parts: np.ndarray):
     return send
 
 
-def _dealt(doc: np.ndarray, start: np.ndarray, stop: np.ndarray, is_open: bool, parts: np.ndarray) -> pd.DataFrame:
-    """Places of texts, those that touch joined to one, a row for each bucket of texts."""
-    spans = merged(doc, start, stop)
-    doc, start, stop = (spans[c].to_numpy(np.int64) for c in ("doc", "start", "stop"))
-    bucket = (pair(doc.view(np.uint64), (start >> TEXT_BITS).view(np.uint64)) % np.uint64(len(parts))).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    doc, start, length = doc[order], start[order], (stop - start)[order]
-    edges = np.searchsorted(bucket[order], np.arange(len(parts) + 1))
-    rows = [
-        (p, is_open, _packed(np.diff(doc[a:b], prepend=0), "<i8"), _packed(start[a:b], "<i8"), _packed(length[a:b], "<u4"))
-        for p, a, b in zip(parts.tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True)
-        if b > a
-    ]
-    return pd.DataFrame(rows, columns=["bucket", "open", "docs", "starts", "lengths"])
+def _dealt(found: list[list[tuple]], parts: np.ndarray) -> pd.DataFrame:
+    """Known and open places of texts, those that touch joined to one, a row for each bucket of texts."""
+    dealt = {}
+    for columns, listed in zip(_PLACES, found, strict=True):
+        if not listed:
+            continue
+        spans = merged(*(np.concatenate(x) for x in zip(*listed, strict=True)))
+        doc, start, stop = (spans[c].to_numpy(np.int64) for c in ("doc", "start", "stop"))
+        bucket = (pair(doc.view(np.uint64), (start >> TEXT_BITS).view(np.uint64)) % np.uint64(len(parts))).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        doc, start, length = doc[order], start[order], (stop - start)[order]
+        edges = np.searchsorted(bucket[order], np.arange(len(parts) + 1))
+        for p, a, b in zip(parts.tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            if b > a:
+                packed = _packed(np.diff(doc[a:b], prepend=0), "<i8"), _packed(start[a:b], "<i8"), _packed(length[a:b], "<u4")
+                dealt.setdefault(p, {"bucket": p}).update(zip(columns, packed, strict=True))
+    return pd.DataFrame(list(dealt.values()), columns=["bucket", *_PLACES[0], *_PLACES[1]], dtype=object).astype({"bucket": np.int32})
 
 
 def _ranked(parts: np.ndarray, opens: bool = True):
@@ -245,17 +249,17 @@ def _ranked(parts: np.ndarray, opens: bool = True):
     @releasing
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fields: list[list[np.ndarray]] = [[], [], [], [], []]
-        places: dict[bool, list[tuple]] = {False: [], True: []}
-        sizes = {False: 0, True: 0}
+        places: list[list[tuple]] = [[], []]
+        size = 0
         for batch in batches:
             for row in batch.itertuples(index=False):
                 if row.names is None:
-                    is_open = row.contexts is None
-                    places[is_open].append(tuple(_unpacked(x, "<i8") for x in (row.docs, row.starts, row.lengths)))
-                    sizes[is_open] += len(places[is_open][-1][0])
-                    if sizes[is_open] >= FLUSH:
-                        yield _dealt(*(np.concatenate(x) for x in zip(*places[is_open], strict=True)), is_open, parts)
-                        places[is_open], sizes[is_open] = [], 0
+                    listed = places[row.contexts is None]
+                    listed.append(tuple(_unpacked(x, "<i8") for x in (row.docs, row.starts, row.lengths)))
+                    size += len(listed[-1][0])
+                    if size >= FLUSH:
+                        yield _dealt(places, parts)
+                        places, size = [[], []], 0
                     continue
                 kinds = ("<u8", "<u8", *["<u8" if row.wide else "<u4"] * 2, "u1")
                 sent = (row.names, row.contexts, row.docs, row.starts, row.lengths)
@@ -272,16 +276,14 @@ def _ranked(parts: np.ndarray, opens: bool = True):
                 order, of_context, of_name = rank(name, context, doc)
                 name, doc, start, length = name[order], doc[order], start[order].astype(np.int64), length[order].astype(np.int64)
                 again = doc > of_context
-                places[False].append((doc[again], start[again], (start + length)[again] + LEAST - 1))
+                places[0].append((doc[again], start[again], (start + length)[again] + LEAST - 1))
                 # where an earlier document has the name too, but in other surroundings, all surroundings are compared
                 at = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
                 latest = np.maximum.reduceat(of_context, at)
                 mixed = np.repeat(latest, np.diff(np.append(at, len(name)))) > of_name
-                is_open = (mixed | np.isin(name, hot)) & ~again
-                places[True].append((doc[is_open], start[is_open], (start + length)[is_open]))
-        for is_open, listed in places.items():
-            if listed and (opens or not is_open):
-                yield _dealt(*(np.concatenate(x) for x in zip(*listed, strict=True)), is_open, parts)
+                is_open = (mixed | np.isin(name, hot)) & ~again & opens
+                places[1].append((doc[is_open], start[is_open], (start + length)[is_open]))
+        yield _dealt(places, parts)
 
     return each
 
@@ -417,8 +419,8 @@ def repeated_spans(based: DataFrame, repeats: bool) -> DataFrame:
 
 def _places(spark: SparkSession, folders: list[str], is_open: bool) -> DataFrame:
     """The known or the open places that rankings wrote."""
-    written = spark.read.schema(_RANKED).parquet(*folders)
-    return written.where(F.col("open") == is_open).select("bucket", "docs", "starts", "lengths")
+    columns = [F.col(c).alias(name) for c, name in zip(_PLACES[is_open], _PLACES[0], strict=True)]
+    return spark.read.schema(_RANKED).parquet(*folders).where(F.col(_PLACES[is_open][0]).isNotNull()).select("bucket", *columns)
 
 
 def _text_of(place: str) -> Column:
